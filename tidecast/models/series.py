@@ -8,15 +8,16 @@ Python.
 * :class:`FourierForecaster` - additive linear trend + yearly (order 10) and
   weekly (order 3) Fourier terms, after Taylor & Letham, "Forecasting at
   Scale" (2018), fitted by ridge least squares. The normal equations of each
-  series (X'X, X'y) are summed by an ordinary grouped aggregate, which Spark
-  combines map-side, so a series holding a large share of the rows is never
-  gathered into one task. Only the tiny per-series systems go to a grouped
-  pandas function (``applyInPandas``) to be solved with numpy. A within-day
-  term is constant on daily data and is left out.
+  series (X'X, X'y) are reduced per Arrow batch with numpy and summed per
+  series, so a series holding a large share of the rows is never gathered
+  into one task; only the tiny per-series systems reach the grouped pandas
+  function (``applyInPandas``) that solves them. A within-day term is
+  constant on daily data and is left out.
 """
 
 from __future__ import annotations
 
+import datetime
 import math
 
 import numpy as np
@@ -28,6 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
+from tidecast.sources.retail import DAY_ORIGIN
+
 
 class _SeriesParams(HasLabelCol, HasPredictionCol):
     groupCols = Param(Params._dummy(), "groupCols", "series key columns",
@@ -118,10 +121,33 @@ def fourier_basis(day: Column, origin_day: float) -> list[Column]:
 
 
 N_TERMS = 2 + 2 * (YEARLY_ORDER + WEEKLY_ORDER)
-_PAIRS = [(i, j) for i in range(N_TERMS) for j in range(i, N_TERMS)]
+
+
+def fourier_basis_np(day: np.ndarray, origin_day: float) -> np.ndarray:
+    """The same basis as :func:`fourier_basis`, as an (n, N_TERMS) array."""
+    d = day.astype(float)
+    cols = [np.ones_like(d), (d - origin_day) / YEAR_DAYS]
+    for period, order in ((YEAR_DAYS, YEARLY_ORDER), (WEEK_DAYS, WEEKLY_ORDER)):
+        for k in range(1, order + 1):
+            angle = d * (2.0 * math.pi * k / period)
+            cols += [np.sin(angle), np.cos(angle)]
+    return np.column_stack(cols)
+
+
+_UPPER = np.triu_indices(N_TERMS)
 
 
 class FourierForecaster(Estimator, _SeriesParams):
+    """Fit = two-level aggregation of the normal equations, then a solve.
+
+    1. ``mapInPandas``: each Arrow batch of training rows is reduced with
+       numpy to one partial (n, X'X, X'y) per series present in the batch.
+       This is the map-side combine: a series holding a third of all rows
+       is spread over many tasks and leaves each as one small row.
+    2. ``groupBy(series).applyInPandas``: the partials of one series (at
+       most one per batch) are summed and the ridge system is solved.
+    """
+
     regParam = Param(Params._dummy(), "regParam", "ridge penalty on seasonal terms",
                      typeConverter=TypeConverters.toFloat)
 
@@ -135,48 +161,70 @@ class FourierForecaster(Estimator, _SeriesParams):
 
     def _fit(self, df: DataFrame) -> FourierModel:
         keys, t, y = self._keys(), self.getOrDefault(self.timeCol), self.getLabelCol()
-        train = self._training_rows(df)
-        # Trend origin: last training day overall (one-row aggregate).
-        origin = train.agg(F.max(t)).first()[0]
-        origin = float(origin) if origin is not None else 0.0
-        basis = fourier_basis(F.col(t), origin)
-        yv = F.col(y).cast("double")
-        stats = train.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.array(*[F.sum(basis[i] * basis[j]) for i, j in _PAIRS]).alias("xtx"),
-            F.array(*[F.sum(b * yv) for b in basis]).alias("xty"),
-        )
-        key_fields = [f for f in stats.schema.fields if f.name in keys]
+        train = self._training_rows(df).select(*keys, F.col(t).cast("double").alias("_t"),
+                                               F.col(y).cast("double").alias("_y"))
+        origin = self._origin(train)
+        key_fields = [f for f in train.schema.fields if f.name in keys]
+        partial_schema = StructType(key_fields + [
+            StructField("n", LongType()),
+            StructField("xtx", ArrayType(DoubleType())),
+            StructField("xty", ArrayType(DoubleType())),
+        ])
+        partials = train.mapInPandas(_partial_normal_equations(keys, origin), partial_schema)
         out_schema = StructType(key_fields + [
             StructField("n", LongType()),
             StructField("coef", ArrayType(DoubleType())),
         ])
         solve = _ridge_solver(keys, float(self.getOrDefault(self.regParam)))
-        coefficients = stats.groupBy(*keys).applyInPandas(solve, out_schema)
+        coefficients = partials.groupBy(*keys).applyInPandas(solve, out_schema)
         model = FourierModel(coefficients, origin)
         return self._copyValues(model)
 
+    def _origin(self, train: DataFrame) -> float:
+        """Trend origin: the cutoff's day number when a cutoff is set (no
+        job), else the last training day (a one-row aggregate)."""
+        cutoff = self.getOrDefault(self.cutoff)
+        if cutoff:
+            d = datetime.date.fromisoformat(cutoff)
+            return float((d - datetime.date.fromisoformat(DAY_ORIGIN)).days + 1)
+        last = train.agg(F.max("_t")).first()[0]
+        return float(last) if last is not None else 0.0
+
+
+def _partial_normal_equations(keys: list[str], origin: float):
+    def reduce_batches(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = fourier_basis_np(pdf["_t"].to_numpy(), origin)
+            yv = pdf["_y"].to_numpy(dtype=float)
+            groups = pdf.groupby(keys, sort=False, dropna=False).indices
+            rows = []
+            for key, idx in groups.items():
+                xi, yi = x[idx], yv[idx]
+                key = key if isinstance(key, tuple) else (key,)
+                rows.append([*key, len(idx), (xi.T @ xi)[_UPPER].tolist(), (xi.T @ yi).tolist()])
+            yield pd.DataFrame(rows, columns=[*keys, "n", "xtx", "xty"])
+
+    return reduce_batches
+
 
 def _ridge_solver(keys: list[str], reg: float):
     penalty = np.zeros(N_TERMS)
     penalty[2:] = reg  # trend and level are not shrunk
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for rec in pdf.itertuples(index=False):
-            n = int(rec.n)
-            gram = np.zeros((N_TERMS, N_TERMS))
-            iu = np.triu_indices(N_TERMS)
-            gram[iu] = np.asarray(rec.xtx, dtype=float)
-            gram = gram + np.triu(gram, 1).T
-            rhs = np.asarray(rec.xty, dtype=float)
-            if n < 2:
-                coef = None
-            else:
-                a = gram + np.diag(penalty + 1e-9 * max(1.0, np.trace(gram) / N_TERMS))
-                coef = np.linalg.lstsq(a, rhs, rcond=None)[0].tolist()
-            rows.append([getattr(rec, k) for k in keys] + [n, coef])
-        return pd.DataFrame(rows, columns=keys + ["n", "coef"])
+        n = int(pdf["n"].sum())
+        gram = np.zeros((N_TERMS, N_TERMS))
+        gram[_UPPER] = np.sum(np.stack(pdf["xtx"].to_numpy()), axis=0)
+        gram = gram + np.triu(gram, 1).T
+        rhs = np.sum(np.stack(pdf["xty"].to_numpy()), axis=0)
+        coef = None
+        if n >= 2:
+            a = gram + np.diag(penalty + 1e-9 * max(1.0, np.trace(gram) / N_TERMS))
+            coef = np.linalg.lstsq(a, rhs, rcond=None)[0].tolist()
+        first = pdf.iloc[0]
+        return pd.DataFrame([[*(first[k] for k in keys), n, coef]], columns=[*keys, "n", "coef"])
 
     return solve
 
@@ -190,8 +238,12 @@ class FourierModel(Model, _SeriesParams):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         keys, t = self._keys(), self.getOrDefault(self.timeCol)
-        basis = F.array(*fourier_basis(F.col(t), self.origin_day))
-        products = F.zip_with(F.col("coef"), basis, lambda c, b: c * b)
-        yhat = F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
+        # An explicit sum of coef[i] * basis_i stays inside codegen (array
+        # lambdas would be interpreted row by row).
+        basis = fourier_basis(F.col(t), self.origin_day)
+        yhat = None
+        for i, b in enumerate(basis):
+            term = F.get(F.col("coef"), i) * b
+            yhat = term if yhat is None else yhat + term
         scored = df.join(self.coefficients.select(*keys, "coef"), keys, "left")
         return scored.withColumn(self.getPredictionCol(), yhat).drop("coef")

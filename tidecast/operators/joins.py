@@ -15,11 +15,21 @@ from pyspark.sql import functions as F
 
 # Dimension tables (calendars, store maps, per-day rank tables) are far
 # below this; anything larger is joined by shuffle.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_ROWS = 500_000
+
+
+_CHECKED: dict[tuple[int, int], bool] = {}
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows. Reads at most
+    ``max_rows + 1`` rows. Results are remembered per semantically equal
+    plan for the life of the process, so re-planning the same scan of a
+    dimension table does not count it again."""
+    key = (df.semanticHash(), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _CHECKED[key]
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -188,7 +188,9 @@ def q_cutoff_split(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- forecasts
 
 def _trend_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    logged = fe.materialize(_logged(spark, sf))
+    # Fitting is lazy (aggregates only), so fit and scoring form one plan in
+    # which Spark computes the shared daily aggregate once.
+    logged = _logged(spark, sf)
     model = TrendWeekdayForecaster(groupCols=fe.SERIES, cutoff=FORECAST_CUTOFF).fit(logged)
     future = logged.where(F.col("date") > F.lit(FORECAST_CUTOFF).cast("date"))
     return model.transform(future)
@@ -211,7 +213,7 @@ def q_join_pred_actual(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _scores(spark: SparkSession, sf: str) -> DataFrame:
-    logged = fe.materialize(_logged(spark, sf))
+    logged = _logged(spark, sf)
     after = F.col("date") > F.lit(FORECAST_CUTOFF).cast("date")
     model = TrendWeekdayForecaster(groupCols=fe.SERIES, cutoff=FORECAST_CUTOFF).fit(logged)
     trend = model.transform(logged.where(after)).select(
@@ -236,9 +238,13 @@ def q_select_best_model(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------ models without a SQL oracle
 
 def _split_features(spark: SparkSession, sf: str):
+    """Assembled features with their time rank, written once; train and test
+    are then plain filters over the written table."""
     fs = fe.build_features(spark, sf)
-    train, test = time_split(fs.assembled, fe.TIME, SPLIT_RATIO)
-    return fe.materialize(train), fe.materialize(test)
+    ranked = fe.materialize(time_percent_rank(fs.assembled, fe.TIME, "_rank"))
+    train = ranked.where(F.col("_rank") <= F.lit(SPLIT_RATIO)).drop("_rank")
+    test = ranked.where(F.col("_rank") > F.lit(SPLIT_RATIO)).drop("_rank")
+    return train, test
 
 
 def q_gbt_rmse(spark: SparkSession, sf: str) -> DataFrame:
@@ -255,7 +261,7 @@ def q_tune_trials(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_forecast_fourier(spark: SparkSession, sf: str) -> DataFrame:
-    logged = fe.materialize(_logged(spark, sf))
+    logged = _logged(spark, sf)
     model = FourierForecaster(groupCols=fe.SERIES, cutoff=FORECAST_CUTOFF).fit(logged)
     future = logged.where(F.col("date") > F.lit(FORECAST_CUTOFF).cast("date"))
     return model.transform(future).select(*KEYS, _date_str("date"), fe.LABEL, "yhat")

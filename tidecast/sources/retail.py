@@ -90,9 +90,12 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lookup(month_day, table: dict, slot: int):
+    """CASE over integer month*100+day keys (cheaper to generate and run than
+    comparing formatted date strings)."""
     expr = None
     for key, value in table.items():
-        cond = month_day == F.lit(key)
+        month, day = key.split("-")
+        cond = month_day == F.lit(int(month) * 100 + int(day))
         expr = F.when(cond, F.lit(value[slot])) if expr is None else expr.when(cond, F.lit(value[slot]))
     return expr.otherwise(F.lit(None).cast("string"))
 
@@ -113,7 +116,7 @@ def calendar_for_days(df: DataFrame, day_col: str = "day") -> DataFrame:
 def calendar_columns(date) -> dict:
     """Calendar attributes of a date column, as named expressions."""
     d = date
-    md = F.date_format(d, "MM-dd")
+    md = F.month(d) * 100 + F.dayofmonth(d)
     dom = F.dayofmonth(d)
     day = day_number(d, DAY_ORIGIN)
     cols = {
