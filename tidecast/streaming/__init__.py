@@ -1,0 +1,6 @@
+"""Streaming.
+
+The reference processes bounded tables only: it has no stream source, sink,
+watermark, window over event time or state. Nothing is built here; the
+batch plans in :mod:`tidecast.plans` are the whole surface.
+"""
