@@ -53,9 +53,18 @@ def q_daily_sales(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _logged(spark: SparkSession, sf: str) -> DataFrame:
+    """Single-consumer form: one lazy plan, one pass over the fact table."""
     return fe.log_sales(fe.daily_sales(spark, sf))
 
 
+def _logged_once(spark: SparkSession, sf: str) -> DataFrame:
+    """Multi-consumer form. Filters on the date are pushed below the daily
+    sum, so branches of one plan would not share its exchange and each would
+    scan the fact table again; the small daily table (series x days) is
+    written once to the checkpoint folder and every branch reads that."""
+    return fe.log_sales(fe.materialize(fe.daily_sales(spark, sf)))
+
+
 def q_log_sales(spark: SparkSession, sf: str) -> DataFrame:
     return _logged(spark, sf).select(*KEYS, _r("sales", 2), _r(fe.LABEL, 6))
 
@@ -66,22 +75,23 @@ def q_lag_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_impute_mean(spark: SparkSession, sf: str) -> DataFrame:
-    imputed = fe.impute_lags(fe.lag_features(_logged(spark, sf)))
+    # The imputer's fit is a job of its own, then the transform reads again.
+    imputed = fe.impute_lags(fe.lag_features(_logged_once(spark, sf)))
     return imputed.select(*KEYS, *[_r(c, 6) for c in fe.LAG_COLS])
 
 
 def q_time_percent_rank(spark: SparkSession, sf: str) -> DataFrame:
-    ranked = time_percent_rank(_logged(spark, sf), fe.TIME, "rank")
+    ranked = time_percent_rank(_logged_once(spark, sf), fe.TIME, "rank")
     return ranked.select(*KEYS, _r("rank", 6))
 
 
 def q_split_train(spark: SparkSession, sf: str) -> DataFrame:
-    train, _ = time_split(_logged(spark, sf), fe.TIME, SPLIT_RATIO)
+    train, _ = time_split(_logged_once(spark, sf), fe.TIME, SPLIT_RATIO)
     return train.select(*KEYS, _r(fe.LABEL, 6))
 
 
 def q_split_test(spark: SparkSession, sf: str) -> DataFrame:
-    _, test = time_split(_logged(spark, sf), fe.TIME, SPLIT_RATIO)
+    _, test = time_split(_logged_once(spark, sf), fe.TIME, SPLIT_RATIO)
     return test.select(*KEYS, _r(fe.LABEL, 6))
 
 
@@ -188,9 +198,7 @@ def q_cutoff_split(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- forecasts
 
 def _trend_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    # Fitting is lazy (aggregates only), so fit and scoring form one plan in
-    # which Spark computes the shared daily aggregate once.
-    logged = _logged(spark, sf)
+    logged = _logged_once(spark, sf)
     model = TrendWeekdayForecaster(groupCols=fe.SERIES, cutoff=FORECAST_CUTOFF).fit(logged)
     future = logged.where(F.col("date") > F.lit(FORECAST_CUTOFF).cast("date"))
     return model.transform(future)
@@ -206,14 +214,14 @@ def _naive_week(logged: DataFrame) -> DataFrame:
 
 
 def q_join_pred_actual(spark: SparkSession, sf: str) -> DataFrame:
-    logged = _logged(spark, sf)
+    logged = _logged_once(spark, sf)
     actual = logged.select(*KEYS, F.col(fe.LABEL).alias("actual"))
     return join_pred_actual(actual, _naive_week(logged), KEYS).select(
         *KEYS, _r("actual", 6), _r("yhat", 6))
 
 
 def _scores(spark: SparkSession, sf: str) -> DataFrame:
-    logged = _logged(spark, sf)
+    logged = _logged_once(spark, sf)
     after = F.col("date") > F.lit(FORECAST_CUTOFF).cast("date")
     model = TrendWeekdayForecaster(groupCols=fe.SERIES, cutoff=FORECAST_CUTOFF).fit(logged)
     trend = model.transform(logged.where(after)).select(
@@ -261,7 +269,7 @@ def q_tune_trials(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_forecast_fourier(spark: SparkSession, sf: str) -> DataFrame:
-    logged = _logged(spark, sf)
+    logged = _logged_once(spark, sf)
     model = FourierForecaster(groupCols=fe.SERIES, cutoff=FORECAST_CUTOFF).fit(logged)
     future = logged.where(F.col("date") > F.lit(FORECAST_CUTOFF).cast("date"))
     return model.transform(future).select(*KEYS, _date_str("date"), fe.LABEL, "yhat")
