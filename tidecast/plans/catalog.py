@@ -265,7 +265,7 @@ def q_gbt_rmse(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_tune_trials(spark: SparkSession, sf: str) -> DataFrame:
     train, test = _split_features(spark, sf)
-    return tune(spark, train, test).trials
+    return tune(spark, train, test, parallelism=4).trials
 
 
 def q_forecast_fourier(spark: SparkSession, sf: str) -> DataFrame:
