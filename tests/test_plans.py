@@ -76,3 +76,15 @@ def test_entry_flagship(spark):
     assert df.columns == ["model", "family", "rmse", "n", "chosen"]
     assert {r.model for r in rows} == {"trees", "fourier", "trend_weekday"}
     assert sum(r.chosen for r in rows) == 1
+
+
+def test_calendar_table_join_equals_inline_calendar(spark):
+    from tidecast.sources.retail import calendar_for_days
+
+    inline = fe.daily_sales(spark, SF_SMALL)
+    bare = inline.select(*fe.SERIES, fe.TIME, "sales")
+    joined = fe.with_calendar(bare, calendar_for_days(bare, fe.TIME))
+    cols = inline.columns
+    a, b = inline.select(*cols), joined.select(*cols)
+    assert a.count() == b.count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
