@@ -100,3 +100,20 @@ def test_gbt_beats_mean_and_tuning_records_trials(spark):
     trials = result.trials.collect()
     assert len(trials) == 2 and all(t.status == "ok" for t in trials)
     assert result.best_loss == min(t.loss for t in trials)
+
+
+def test_forecaster_models_save_and_load(spark, tmp_path):
+    from tidecast.models.series import FourierModel, TrendWeekdayModel
+
+    df = _series(spark, lambda k, t: 1.0 + 0.01 * t + (0.5 if t % 7 == 0 else 0.0), range(1, 120), keys=("a", "b"))
+    test = df.where("day > 100")
+    for est, cls in ((TrendWeekdayForecaster(labelCol="y", groupCols=["s"]), TrendWeekdayModel),
+                     (FourierForecaster(labelCol="y", groupCols=["s"]), FourierModel)):
+        model = est.fit(df.where("day <= 100"))
+        path = str(tmp_path / cls.__name__)
+        model.save(path)
+        loaded = cls.load(spark, path)
+        assert loaded.getOrDefault(loaded.groupCols) == ["s"]
+        a = sorted((r.s, r.day, round(r.yhat, 9)) for r in model.transform(test).collect())
+        b = sorted((r.s, r.day, round(r.yhat, 9)) for r in loaded.transform(test).collect())
+        assert a == b

@@ -18,6 +18,7 @@ Python.
 from __future__ import annotations
 
 import datetime
+import json
 import math
 
 import numpy as np
@@ -25,7 +26,7 @@ import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol, Param, Params, TypeConverters
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
@@ -82,13 +83,40 @@ class TrendWeekdayForecaster(Estimator, _SeriesParams):
         return self._copyValues(model)
 
 
+def _save_params(model, path: str, extra: dict) -> None:
+    spark = SparkSession.active()
+    params = {p.name: model.getOrDefault(p) for p in model.params if model.hasDefault(p) or model.isSet(p)}
+    params.update(extra)
+    spark.createDataFrame([(json.dumps(params),)], "params string").write.mode("overwrite").json(
+        f"{path}/params")
+
+
+def _load_params(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.json(f"{path}/params").first()["params"])
+
+
 class TrendWeekdayModel(Model, _SeriesParams):
+    """Coefficient tables: (series, slope, intercept) and (series, weekday,
+    effect). ``save``/``load`` write them as Parquet next to the params."""
+
     def __init__(self, trend: DataFrame | None = None, weekday: DataFrame | None = None):
         super().__init__()
         self._series_defaults()
         self.trend = trend
         self.weekday = weekday
 
+    def save(self, path: str) -> None:
+        self.trend.write.mode("overwrite").parquet(f"{path}/trend")
+        self.weekday.write.mode("overwrite").parquet(f"{path}/weekday")
+        _save_params(self, path, {})
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> TrendWeekdayModel:
+        params = _load_params(spark, path)
+        model = cls(spark.read.parquet(f"{path}/trend"), spark.read.parquet(f"{path}/weekday"))
+        model._set(**{k: v for k, v in params.items() if model.hasParam(k)})
+        return model
+
     def _transform(self, df: DataFrame) -> DataFrame:
         keys, t = self._keys(), self.getOrDefault(self.timeCol)
         dow = F.dayofweek(self.getOrDefault(self.dateCol)).cast("int")
@@ -230,12 +258,25 @@ def _ridge_solver(keys: list[str], reg: float):
 
 
 class FourierModel(Model, _SeriesParams):
+    """Coefficient table (series, n, coef array) plus the trend origin."""
+
     def __init__(self, coefficients: DataFrame | None = None, origin_day: float = 0.0):
         super().__init__()
         self._series_defaults()
         self.coefficients = coefficients
         self.origin_day = origin_day
 
+    def save(self, path: str) -> None:
+        self.coefficients.write.mode("overwrite").parquet(f"{path}/coefficients")
+        _save_params(self, path, {"origin_day": self.origin_day})
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> FourierModel:
+        params = _load_params(spark, path)
+        model = cls(spark.read.parquet(f"{path}/coefficients"), float(params.pop("origin_day")))
+        model._set(**{k: v for k, v in params.items() if model.hasParam(k)})
+        return model
+
     def _transform(self, df: DataFrame) -> DataFrame:
         keys, t = self._keys(), self.getOrDefault(self.timeCol)
         # An explicit sum of coef[i] * basis_i stays inside codegen (array

@@ -4,8 +4,8 @@ Every grid point is fitted on the same chronological train set and scored
 by RMSE on the later test set. Train and test should be materialised
 (checkpointed) once by the caller: each fit then starts from the written
 table instead of re-running the feature plan. Grid points are fitted
-concurrently from a small driver thread pool through
-``Estimator.fitMultiple``; Spark schedules their jobs side by side.
+concurrently from a small driver thread pool (as ``TrainValidationSplit``
+does with its ``parallelism``); Spark schedules their jobs side by side.
 """
 
 from __future__ import annotations
