@@ -50,3 +50,17 @@ def test_cutoff_split(spark):
         .select(F.col("d").cast("date").alias("date"))
     train, test = cutoff_split(df, "date", "2016-01-29")
     assert train.count() == 2 and test.count() == 1
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(min_value=-3, max_value=12), min_size=1, max_size=40))
+def test_scalable_rank_equals_percent_rank_property(spark, days):
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "id int, day int")
+    ours = {r.id: r.rank for r in time_percent_rank(df, "day").collect()}
+    ref = {r.id: r.r for r in df.withColumn("r", F.percent_rank().over(Window.orderBy("day"))).collect()}
+    assert ours.keys() == ref.keys()
+    assert all(abs(ours[k] - ref[k]) < 1e-12 for k in ours)
