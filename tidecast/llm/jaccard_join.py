@@ -14,11 +14,15 @@ branch of the tree is one prefix shingle with the sets that hold it there.
    second one with all that are not yet in its component. Length and position
    bounds drop hopeless pairs; the rest meet their whole sets, exactly once.
    Branches whose vertices are then all connected need nothing more.
-4. The branches left over are cut into blocks of bounded size. Each pair of
-   blocks is joined in a trie of the ordered sets: a node's overlap with every
-   probe is its parent's plus one column, so a shared path is walked once;
-   subtrees whose remaining length cannot reach the overlap asked for are
-   pruned. Only links that connect components leave the task.
+4. What is left open: in a branch of at most ``FEW`` vertices each meets the
+   others of other components, under the same bounds. Vertices of larger
+   branches are cut into blocks of bounded size, those with the same largest
+   branch together, and each vertex goes with its block, not with each of its
+   branches. Pairs of blocks that share a branch are joined in a trie of the
+   ordered sets: a node's overlap with every probe is its parent's plus one
+   column, so a shared path is walked once; subtrees whose remaining length
+   cannot reach the overlap asked for are pruned. Only links that connect
+   components leave the task.
 5. Connected components give the classes.
 
 Nothing is dropped: every pair above the threshold shares a branch, and each
@@ -44,7 +48,9 @@ from tidecast.llm.components import components
 
 #: Part of the hash range whose shingles come first in the order.
 LOW = 0.25
-#: Most vertices and shingles in a block of a branch.
+#: Vertices of an open branch that meet each other without a trie.
+FEW = 32
+#: Vertices and shingles in a block, about.
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 400_000
 KEEP_WORDS = 1_000_000
 
@@ -202,7 +208,8 @@ class Trie:
             return np.where((at < width) & (common[np.minimum(at, max(width - 1, 0))] == a), at, width) \
                 if width else np.full(len(a), 0)
 
-        holds = np.zeros((width + 1, len(probes)), np.int32)
+        kind = np.int16 if max(map(len, probes)) < 1 << 15 else np.int32
+        holds = np.zeros((width + 1, len(probes)), kind)
         for j, p in enumerate(probes):
             at = number(p)
             holds[at[at < width], j] = 1
@@ -214,7 +221,7 @@ class Trie:
         # Level by level: each node's overlaps come from its parent's.
         live = np.arange(len(sets))
         node = np.zeros(len(sets), np.int64)
-        overlap = np.zeros((1, len(probes)), np.int32)
+        overlap = np.zeros((1, len(probes)), kind)
         out_p, out_s = [], []
         for level in range(depth):
             ended = sizes[live] == level
@@ -272,15 +279,14 @@ def _spanning(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def branch_links(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Links (a, b) between components in ``rows(tok, i, j, side, v, c, s)``:
-    one group for each pair of blocks of a branch, rows of a group together.
-    A group holds two blocks at most."""
+def block_links(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (a, b) between components in ``rows(i, j, side, c, s)``: rows of
+    a pair of blocks together. A group holds two blocks at most."""
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, key, held = Trie(num, den), None, []
 
         def solve() -> Iterator[pa.RecordBatch]:
-            inner = key[1] == key[2]
+            inner = key[0] == key[1]
             probes = held if inner else [r for r in held if r[0] == 0]
             sets = held if inner else [r for r in held if r[0] == 1]
             if probes and sets:
@@ -291,30 +297,39 @@ def branch_links(rows: DataFrame, num: int, den: int) -> DataFrame:
                     yield pa.RecordBatch.from_pydict({"a": [x for x, _ in links], "b": [y for _, y in links]})
 
         for batch in batches:
-            cols = [batch.column(k).to_pylist() for k in ("tok", "i", "j", "side", "c")]
+            cols = [batch.column(k).to_pylist() for k in ("i", "j", "side", "c")]
             values, ends = batch.column("s").values.to_numpy(), batch.column("s").offsets.to_numpy()
-            for r, (tok, i, j, side, c) in enumerate(zip(*cols)):
-                if key is not None and key != (tok, i, j):
+            for r, (i, j, side, c) in enumerate(zip(*cols)):
+                if key is not None and key != (i, j):
                     yield from solve()
                     held = []
-                key = (tok, i, j)
+                key = (i, j)
                 held.append((side, c, np.array(values[ends[r]:ends[r + 1]])))
         if held:
             yield from solve()
 
-    return rows.repartition("tok", "i", "j").sortWithinPartitions("tok", "i", "j") \
-        .select("tok", "i", "j", "side", "c", "s").mapInArrow(join, "a long, b long")
-
-
-def blocks(members: DataFrame) -> DataFrame:
-    """Rows (tok, v, c, n) of open branches, once for each pair of blocks that
-    their block is part of; ``side`` tells which of the two."""
-    size = members.groupBy("tok").agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("k"))
-    rows = members.join(size, "tok").withColumn("own", F.pmod(F.xxhash64("v"), "k").cast("int"))
-    return rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))) \
-        .select("tok", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "v", "c")
+    return rows.repartition("i", "j").sortWithinPartitions("i", "j") \
+        .select("i", "j", "side", "c", "s").mapInArrow(join, "a long, b long")
+
+
+def blocks(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(block of each vertex, pairs of blocks that share a branch) for
+    ``members(tok, v, n, c, size)``. A vertex belongs to its largest branch; a
+    branch with many such vertices is salted into blocks of its own, the
+    others share blocks."""
+    home = members.groupBy("v", "n", "c").agg(F.max(F.struct("size", "tok")).alias("h")) \
+        .select("v", "n", "c", F.col("h.tok").alias("home"))
+    load = F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)
+    homes = home.groupBy("home").agg(load.alias("load"))
+    shared = homes.where("load < 0.5").agg(F.coalesce(F.ceil(F.sum("load")), F.lit(1)).alias("k")).first()["k"]
+    salted = F.xxhash64("home", F.pmod(F.xxhash64("v"), F.ceil("load")))
+    of = written(home.join(homes, "home").select(
+        "v", "c", F.when(F.col("load") < 0.5, F.pmod(F.xxhash64("home"), F.lit(shared))).otherwise(salted).alias("block")),
+        "blocks")
+    held = written(members.select("tok", "v").join(of.select("v", "block"), "v").select("tok", "block").distinct(), "held")
+    pairs = held.select("tok", F.col("block").alias("i")).join(held.select("tok", F.col("block").alias("j")), "tok") \
+        .where("i <= j").select("i", "j").distinct()
+    return of, pairs
 
 
 # ------------------------------------------------------------------ the join
@@ -358,12 +373,25 @@ def linked(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, Data
     links = links.unionByName(written(verified(pairs, sets, limit), "links-2"))
     parts = components(links)
 
-    # The branches still open: tries over pairs of blocks.
-    rest = _with_component(open_.select("tok", "v", "n"), parts)
-    several = rest.groupBy("tok").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("tok")
-    rows = blocks(rest.join(several, "tok", "left_semi")).join(sets, "v")
-    more = written(branch_links(rows, num, den), "links-3")
-    parts = components(parts.select(F.col("v").alias("a"), F.col("c").alias("b")).unionByName(more))
+    # The branches still open.
+    rest = _with_component(open_.select("tok", "v", "n", "pos"), parts)
+    several = rest.groupBy("tok").agg(F.min("c").alias("low"), F.max("c").alias("high"),
+                                      F.count(F.lit(1)).alias("size")).where("low < high").select("tok", "size")
+    rest = written(rest.join(several, "tok"), "open-3")
+    few = rest.where(F.col("size") <= FEW).select("tok", "v", "n", "pos", "c")
+    other = few.select("tok", *[F.col(x).alias(f"{x}2") for x in ("v", "n", "pos", "c")])
+    near = limit.possible(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2"))
+    pairs = few.join(other, "tok").where("v < v2 and c <> c2").where(near) \
+        .select(F.col("v").alias("a"), F.col("v2").alias("b")).distinct()
+    links = links.unionByName(written(verified(pairs, sets, limit), "links-3"))
+
+    of, pairs = blocks(rest.where(F.col("size") > FEW))
+    held = of.join(sets, "v").select("block", "c", "s")
+    first_side = pairs.join(held, F.col("i") == F.col("block")).select("i", "j", F.lit(0).alias("side"), "c", "s")
+    second_side = pairs.where("i < j").join(held, F.col("j") == F.col("block")) \
+        .select("i", "j", F.lit(1).alias("side"), "c", "s")
+    more = written(block_links(first_side.unionByName(second_side), num, den), "links-4")
+    parts = components(links.unionByName(more))
     rows = table.select("v", "doc_id", "text_key", "n", "digest").join(first, "digest", "left") \
         .withColumn("rep", F.coalesce("rep", "v")).drop("digest")
     return rows, parts
