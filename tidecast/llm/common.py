@@ -76,7 +76,7 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-_SIMPLE = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+[.,!?;:]?")
+_SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]?)")
 
 
 class WordEncoder:
@@ -85,43 +85,63 @@ class WordEncoder:
     its normalizer treats characters on either side of a blank apart, so the
     ids of a text are the ids of its chunks in a row.
 
-    Unknown chunks that are plain Latin letters with at most one punctuation
-    mark are encoded many at a time; the vocabulary marks the last token of
-    each piece, so the ids can be told apart again (one piece for the letters,
-    one for the mark). All others are encoded one by one.
+    A chunk of plain Latin letters with at most one punctuation mark is two
+    pieces: the letters in lower case (composed already) and the mark. New
+    letter pieces are encoded many at a time, without the normalizer, which
+    would not change them; the vocabulary marks the last token of each piece,
+    so the ids can be told apart again. All other chunks are encoded one by
+    one as they are.
     """
 
-    KEEP = 400_000
+    KEEP = 1_500_000
 
     def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer = None
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
+        self.marks = {"": b"", **{m: self._ids(m) for m in ".,!?;:"}}
+        self._forget()
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _forget(self) -> None:
         self.known: dict[str, bytes] = {"": b""}
+        self.pieces: dict[str, bytes] = {}
 
     def _learn(self, chunks: list[str]) -> None:
-        encode, simple, hard = self.tokenizer.encode_batch_fast, [], []
+        simple, hard = [], []
         for c in chunks:
-            (simple if _SIMPLE.fullmatch(c) else hard).append(c)
-        for c, e in zip(hard, encode(hard, add_special_tokens=False)):
+            m = _SIMPLE.fullmatch(c)
+            if m:
+                simple.append((c, m[1].lower(), m[2]))
+            else:
+                hard.append(c)
+        for c, e in zip(hard, self.tokenizer.encode_batch_fast(hard, add_special_tokens=False)):
             self.known[c] = np.array(e.ids, "<u4").tobytes()
-        for k in range(0, len(simple), 1000):
-            part = simple[k:k + 1000]
-            ids = np.array(encode([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            pieces = np.cumsum([1 if c[-1].isalpha() else 2 for c in part])
-            last = np.flatnonzero(self.ends[ids])
-            if len(last) != pieces[-1]:
+        new = list({p for _, p, _ in simple}.difference(self.pieces))
+        for k in range(0, len(new), 1000):
+            part = new[k:k + 1000]
+            ids = np.array(self.letters.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(ends) != len(part):
                 raise ValueError("the vocabulary does not mark the ends of pieces")
             data, start = ids.tobytes(), 0
-            for c, end in zip(part, ((last[pieces - 1] + 1) * 4).tolist()):
-                self.known[c] = data[start:end]
+            for p, end in zip(part, ends.tolist()):
+                self.pieces[p] = data[start:end]
                 start = end
+        for c, p, mark in simple:
+            self.known[c] = self.pieces[p] + self.marks[mark]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -133,7 +153,7 @@ class WordEncoder:
                     t = t.replace(blank, " ")
             split.append(t.split(" "))
         if len(self.known) > self.KEEP:
-            self.known = {"": b""}
+            self._forget()
         new = set().union(*split).difference(self.known)
         if new:
             self._learn(list(new))
