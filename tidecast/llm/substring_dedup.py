@@ -65,11 +65,13 @@ def runs(text: str, min_sentences: int, min_words: int) -> list[tuple[int, int,
 
 
 def spans(docs: DataFrame, min_sentences: int, min_words: int) -> DataFrame:
-    """doc_id, text_key, first, last, hash of every run of every document."""
-    @F.pandas_udf("array<struct<first:int,last:int,hash:binary>>")
+    """doc_id, text_key, place (first and last sentence in one number) and the
+    hash (two numbers) of every run of every document."""
+    @F.pandas_udf("array<struct<place:bigint,h1:bigint,h2:bigint>>")
     def hashed(text: pd.Series) -> pd.Series:
-        return pd.Series([[{"first": a, "last": b, "hash": h} for a, b, h in runs(t, min_sentences, min_words)]
-                          if t else [] for t in text])
+        return pd.Series([[{"place": a << 32 | b, "h1": int.from_bytes(h[:8], "little", signed=True),
+                            "h2": int.from_bytes(h[8:], "little", signed=True)}
+                           for a, b, h in runs(t, min_sentences, min_words)] if t else [] for t in text])
 
     return docs.select("doc_id", text_key(F.col("text")).alias("text_key"),
                        F.explode(hashed.asNondeterministic()("text")).alias("run")) \
@@ -79,12 +81,12 @@ def spans(docs: DataFrame, min_sentences: int, min_words: int) -> DataFrame:
 def repeated(found: DataFrame) -> DataFrame:
     """The spans that are not the first of their hash. Both sides of the join
     come from one shuffle by hash."""
-    by_hash = found.repartition("hash")
-    here = F.struct("doc_id", "text_key", "first")
-    first = by_hash.groupBy("hash").agg(F.min(here).alias("origin"), F.max(here).alias("latest")) \
-        .where(~F.col("origin").eqNullSafe(F.col("latest"))).select("hash", "origin")
-    return by_hash.join(first, "hash").where(~here.eqNullSafe(F.col("origin"))) \
-        .select("doc_id", "text_key", "first", "last")
+    key = ["h1", "h2"]
+    by_hash = found.repartition(*key)
+    here = F.struct("doc_id", "text_key", "place")
+    first = by_hash.groupBy(*key).agg(F.min(here).alias("origin"), F.max(here).alias("latest")) \
+        .where(~F.col("origin").eqNullSafe(F.col("latest"))).select(*key, "origin")
+    return by_hash.join(first, key).where(~here.eqNullSafe(F.col("origin"))).select("doc_id", "text_key", "place")
 
 
 def remove_repeats(docs: DataFrame, out: str = "clean", min_sentences: int = MIN_SENTENCES,
@@ -95,14 +97,14 @@ def remove_repeats(docs: DataFrame, out: str = "clean", min_sentences: int = MIN
     found = written(spans(docs, min_sentences, min_words), "sentence-spans")
     # The covered sentences of one document: no more than it has.
     cover = repeated(found).distinct().groupBy("doc_id", "text_key") \
-        .agg(F.collect_list(F.struct("first", "last")).alias("cover"))
+        .agg(F.collect_list("place").alias("cover"))
 
     @F.pandas_udf("text string, n_sentences int, n_removed int, removed string")
     def apply(text: pd.Series, cover: pd.Series) -> pd.DataFrame:
         rows = []
         for t, c in zip(text, cover):
             all_ = sentences(t) if t else []
-            gone = {k for x in c for k in range(x["first"], x["last"] + 1)} if c is not None else set()
+            gone = {k for x in c for k in range(x >> 32, (x & 0xFFFFFFFF) + 1)} if c is not None else set()
             pieces, at, ranges = [], 0, []
             for k, (a, b, _) in enumerate(all_):
                 if k in gone:
@@ -116,8 +118,8 @@ def remove_repeats(docs: DataFrame, out: str = "clean", min_sentences: int = MIN
             rows.append((clean, len(all_), len(gone), ",".join(f"{a}:{b}" for a, b, _ in ranges)))
         return pd.DataFrame(rows, columns=["text", "n_sentences", "n_removed", "removed"])
 
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", text_key(F.col("text")).alias("text_key"), "text").alias("d")
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", text_key(F.col("text")).alias("text_key")).alias("d")
     same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & F.col("d.text_key").eqNullSafe(F.col("c.text_key"))
-    joined = rows.join(cover.alias("c"), same, "left").select("row", F.col("d.text").alias("text"), "cover")
+    joined = rows.join(cover.alias("c"), same, "left").select("row", "cover")
     return joined.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != out],
-                         apply.asNondeterministic()("text", "cover").alias(out))
+                         apply.asNondeterministic()("row.text", "cover").alias(out))
