@@ -11,9 +11,9 @@ Files are written by tasks straight to the shared folder under names that no
 other attempt uses; the manifest, a Spark table, lists the files of the tasks
 that succeeded, with the ids in all earlier files. Only listed files are read.
 
-The dictionary is a model trained on a bounded, documented sample:
-``SAMPLE_DOCS`` documents with the smallest hash of their id, ``SAMPLE_IDS``
-ids of each. Everything else covers all documents. Where there are too few
+The dictionary is a model trained on a bounded, documented sample: about
+``SAMPLE_DOCS`` documents, chosen by a hash of their id (twice as many at
+most), and at most ``SAMPLE_IDS`` ids of each. Everything else covers all documents. Where there are too few
 samples to train on, the dictionary is empty.
 
 Defined results: a null or empty text is the end id alone; null ids come
@@ -40,7 +40,7 @@ from tidecast.session import scratch_path
 
 MAGIC = b"TOKZ0001"
 END_ID = 2
-SAMPLE_DOCS, SAMPLE_IDS = 2000, 2048
+SAMPLE_DOCS, SAMPLE_IDS = 2000, 1024
 DICTIONARY_BYTES = 64 * 1024
 LEVEL = 3
 
@@ -72,8 +72,9 @@ def train_dictionary(docs: DataFrame, vocabulary: str, end_id: int = END_ID) ->
     import zstandard
 
     width, tail = id_width(vocabulary, end_id), int(end_id).to_bytes(4, "little")
-    sample = docs.select("doc_id", F.substring("text", 1, 8 * SAMPLE_IDS).alias("text")) \
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(SAMPLE_DOCS).select("text").collect()
+    every = max(1, docs.count() // SAMPLE_DOCS)
+    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0) \
+        .select(F.substring("text", 1, 8 * SAMPLE_IDS).alias("text")).limit(2 * SAMPLE_DOCS).collect()
     arrays = [_packed((ids + tail)[:4 * SAMPLE_IDS], width)
               for ids in encoder(vocabulary).encode([r["text"] for r in sample])]
     try:
