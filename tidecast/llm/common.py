@@ -93,7 +93,7 @@ class WordEncoder:
     one as they are.
     """
 
-    KEEP = 1_500_000
+    KEEP = 800_000
 
     def __init__(self, path: str):
         import os

@@ -52,7 +52,9 @@ LOW = 0.25
 FEW = 32
 #: Vertices and shingles in a block, about.
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 400_000
-KEEP_WORDS = 1_000_000
+KEEP_WORDS = 250_000
+#: Most cells in a table of shingles and probes; probes are taken in parts.
+CELLS = 32_000_000
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -197,10 +199,16 @@ class Trie:
 
     def links(self, probes: list[np.ndarray], sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of probes and of sets that link."""
-        limit = self.limit
         tokens, counts = np.unique(np.concatenate([*probes, *sets]), return_counts=True)
         common = tokens[counts > 1]
-        width = len(common)
+        step = max(1, CELLS // (len(common) + 1))
+        found = [(p + k, s) for k in range(0, len(probes), step)
+                 for p, s in [self._walk(probes[k:k + step], sets, common)]]
+        return np.concatenate([p for p, _ in found]), np.concatenate([s for _, s in found])
+
+    def _walk(self, probes: list[np.ndarray], sets: list[np.ndarray], common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for some probes; ``common`` has every shared shingle."""
+        limit, width = self.limit, len(common)
 
         def number(a: np.ndarray) -> np.ndarray:
             """Row of each shingle in the table; the last row is all zero."""
@@ -209,7 +217,7 @@ class Trie:
                 if width else np.full(len(a), 0)
 
         kind = np.int16 if max(map(len, probes)) < 1 << 15 else np.int32
-        holds = np.zeros((width + 1, len(probes)), kind)
+        holds = np.zeros((width + 1, len(probes)), np.int8)
         for j, p in enumerate(probes):
             at = number(p)
             holds[at[at < width], j] = 1
