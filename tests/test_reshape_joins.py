@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from tidecast.operators.joins import bounded_broadcast, has_at_most, inner_join_on, left_join_using
+from tidecast.operators.joins import inner_join_on, left_join_using
 from tidecast.operators.reshape import day_columns, melt
 
 
@@ -53,21 +53,19 @@ def test_inner_join_on_two_renamed_keys(spark):
     assert [(r.id2, r.variable, r.v, r.p) for r in rows] == [("x", "d_1", 1, 10.0)]
 
 
-def test_bounded_broadcast_only_below_bound(spark):
-    small = spark.range(10).withColumnRenamed("id", "k")
-    big = spark.range(50).withColumnRenamed("id", "k")
-    assert has_at_most(small, 10) and not has_at_most(big, 10)
+def test_grown_side_is_not_broadcast(spark, tmp_path):
+    """The choice follows the bytes of the side now at the path."""
     fact = spark.range(1000).select((F.col("id") % 50).alias("k"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
     try:
-        plan_small = _plan(fact.join(bounded_broadcast(small, 10), "k"))
-        plan_big = _plan(fact.join(bounded_broadcast(big, 10), "k"))
+        plans = []
+        for rows in (10, 100_000):
+            spark.range(rows).withColumnRenamed("id", "k").write.mode("overwrite").parquet(str(tmp_path / "dim"))
+            plans.append(_plan(left_join_using(fact, spark.read.parquet(str(tmp_path / "dim")), "k")))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in plan_small
-    assert "BroadcastHashJoin" not in plan_big
+    assert "BroadcastHashJoin" in plans[0]
+    assert "BroadcastHashJoin" not in plans[1]
 
 
 def _plan(df) -> str:

@@ -93,7 +93,7 @@ def tune(
     rows = [(i, "trees", {k: str(v) for k, v in points[i].items()}, losses[i], status[i])
             for i in range(len(points))]
     trials = spark.createDataFrame(rows, TRIALS_SCHEMA)
-    ok = [i for i in range(len(points)) if status[i] == "ok"]
+    ok = [i for i in range(len(points)) if status[i] == "ok" and losses[i] == losses[i]]  # NaN: failed
     if not ok:
         return TuningResult(trials, None, None, {})
     best = min(ok, key=lambda i: (losses[i], i))

@@ -1,9 +1,9 @@
-"""Joins with an explicit size check before anything is broadcast.
+"""Equi-joins that leave the choice of strategy to Spark.
 
-A side is broadcast only when a bounded count proves it has at most
-``max_rows`` rows; otherwise the join is left to a shuffle (sort-merge or
-shuffle-hash, with AQE splitting skewed partitions). The check reads at most
-``max_rows + 1`` rows, so it stays cheap however large the side is.
+Nothing is hinted: a side is broadcast only when its estimated or measured
+bytes (adaptive execution) are below ``spark.sql.autoBroadcastJoinThreshold``;
+beyond that the join shuffles, and adaptive execution splits skewed
+partitions. No job counts a side beforehand.
 """
 
 from __future__ import annotations
@@ -11,56 +11,24 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Dimension tables (calendars, store maps, per-day rank tables) are far
-# below this; anything larger is joined by shuffle.
-DEFAULT_BROADCAST_ROWS = 500_000
-
-
-_CHECKED: dict[tuple[int, int], bool] = {}
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Reads at most
-    ``max_rows + 1`` rows. Results are remembered per semantically equal
-    plan for the life of the process, so re-planning the same scan of a
-    dimension table does not count it again."""
-    key = (df.semanticHash(), max_rows)
-    if key not in _CHECKED:
-        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _CHECKED[key]
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` provably has at most ``max_rows``
-    rows, else ``df`` unchanged (shuffle join)."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
 
 
 def left_join_using(
     fact: DataFrame,
     dim: DataFrame,
     keys: str | Sequence[str],
-    max_dim_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Left equi-join on columns both sides name alike (``USING``)."""
     on = [keys] if isinstance(keys, str) else list(keys)
-    return fact.join(bounded_broadcast(dim, max_dim_rows), on, "left")
+    return fact.join(dim, on, "left")
 
 
 def inner_join_on(
     left: DataFrame,
     right: DataFrame,
     pairs: Sequence[tuple[str, str]],
-    max_right_rows: int | None = None,
 ) -> DataFrame:
-    """Inner equi-join on differently named key pairs ``(left_col, right_col)``.
-
-    Without ``max_right_rows`` both sides are shuffled on the keys.
-    """
-    if max_right_rows is not None:
-        right = bounded_broadcast(right, max_right_rows)
+    """Inner equi-join on differently named key pairs ``(left_col, right_col)``."""
     cond = None
     for lcol, rcol in pairs:
         c = left[lcol] == right[rcol]

@@ -147,7 +147,7 @@ def q_day_index(spark: SparkSession, sf: str) -> DataFrame:
 def q_revenue(spark: SparkSession, sf: str) -> DataFrame:
     lines = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"])
     part = read_table(spark, sf, "part", ["p_partkey", "p_retailprice"])
-    joined = inner_join_on(lines, part, [("l_partkey", "p_partkey")], max_right_rows=500_000)
+    joined = inner_join_on(lines, part, [("l_partkey", "p_partkey")])
     return joined.select("l_orderkey", "l_linenumber",
                          F.round(F.col("l_quantity") * F.col("p_retailprice"), 2).alias("revenue"))
 

@@ -90,6 +90,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tidecast-ckpt-")
     sc.setCheckpointDir(configured)
     # Spark appends a per-application sub folder; report what it uses.

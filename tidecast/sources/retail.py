@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.functions.columns import day_number, saturday_wday
-from tidecast.operators.joins import bounded_broadcast
 from tidecast.sources.tables import read_table
 
 DAY_ORIGIN = "1995-01-01"
@@ -45,22 +44,16 @@ SNAP_DAYS = {
     "snap_WI": (2, 3, 5, 6, 8, 9, 11, 12, 14, 15),
 }
 
-# Dimension tables this small are broadcast after a bounded count.
-SMALL_DIM_ROWS = 100_000
-# Part and supplier grow with the data; they are broadcast only while a
-# bounded count proves them below this, otherwise joined by shuffle.
-LARGE_DIM_ROWS = 500_000
-
 
 def store_of_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(s_suppkey, store_id): supplier joined to its nation's region."""
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"])
     region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
     supplier = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
-    nation_region = nation.join(bounded_broadcast(region, SMALL_DIM_ROWS),
+    nation_region = nation.join(region,
                                 F.col("n_regionkey") == F.col("r_regionkey"))
     return supplier.join(
-        bounded_broadcast(nation_region, SMALL_DIM_ROWS),
+        nation_region,
         F.col("s_nationkey") == F.col("n_nationkey"),
     ).select("s_suppkey", F.col("r_name").alias("store_id"))
 
@@ -73,8 +66,8 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_type", "p_retailprice"])
     stores = store_of_supplier(spark, sf_dir)
     joined = (
-        lines.join(bounded_broadcast(part, LARGE_DIM_ROWS), F.col("l_partkey") == F.col("p_partkey"))
-        .join(bounded_broadcast(stores, LARGE_DIM_ROWS), F.col("l_suppkey") == F.col("s_suppkey"))
+        lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
+        .join(stores, F.col("l_suppkey") == F.col("s_suppkey"))
     )
     date = F.to_date("l_shipdate")
     return joined.select(
