@@ -59,6 +59,34 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A key is hot if it holds one in ``HOT_SHARE`` of all rows (so there are at
+#: most that many), and ``HOT_LEAST`` rows at least.
+HOT_SHARE = 200
+HOT_LEAST = 1000
+
+
+def hot_keys(rows: DataFrame, *keys: str) -> list[int]:
+    """Values of the ``keys`` that hold a large share of ``rows``, from a sketch
+    of frequent items over all rows: at most ``HOT_SHARE`` for each column.
+    The list chooses the way of a join only, never its result."""
+    top = [F.expr(f"approx_top_k({k}, {HOT_SHARE}, {50 * HOT_SHARE})").alias(f"top{i}") for i, k in enumerate(keys)]
+    found = rows.agg(F.count(F.lit(1)).alias("n"), *top).first()
+    least = max(found["n"] / HOT_SHARE, HOT_LEAST)
+    return sorted({t["item"] for i in range(len(keys)) for t in found[f"top{i}"]
+                   if t["item"] is not None and t["count"] >= least})
+
+
+def join_one(rows: DataFrame, ones: DataFrame, key: str, hot: list[int]) -> DataFrame:
+    """``rows`` joined by ``key`` (never null) to ``ones``, which has one row
+    for each key. The rows of hot keys stay where they are and meet the few
+    rows of ``ones`` there; all others are shuffled by the key."""
+    if not hot:
+        return rows.join(ones, key)
+    often = F.col(key).isin(hot)
+    return rows.where(~often).join(ones.where(~often), key) \
+        .unionByName(rows.where(often).join(F.broadcast(ones.where(often)), key))
+
+
 def lower_words(text: str | None) -> list[bytes]:
     """Words between ASCII blanks, A-Z lower-cased (as UTF-8 bytes).
     ``bytes.lower`` and ``bytes.split`` touch ASCII only."""

@@ -2,9 +2,9 @@
 
 Each round points every vertex at the smallest vertex it knows: first larger
 neighbours (large star), then the rest (small star), as in Kiveris et al.
-2014. A round is two shuffles; a vertex with very many links is reduced by
-partial aggregates, and its links meet one row. Rounds are written to the
-shared folder, so a lost executor costs one round at most.
+2014. A vertex with very many links is reduced by partial aggregates, and its
+links meet that one row where they are. Rounds are written to the shared
+folder, so a lost executor costs one round at most.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import written
+from tidecast.llm.common import hot_keys, join_one, written
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -27,9 +27,10 @@ def components(links: DataFrame, name: str = "stars") -> DataFrame:
     edges = written(edges, name)
     before = _signature(edges)
     while True:
+        hot = hot_keys(edges, "u", "w")
         both = edges.unionByName(edges.select(F.col("w").alias("u"), F.col("u").alias("w")))
         least = both.groupBy("u").agg(F.least(F.min("w"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("w > u").select(F.col("w").alias("u"), F.col("m").alias("w")).distinct()
+        large = join_one(both, least, "u", hot).where("w > u").select(F.col("w").alias("u"), F.col("m").alias("w")).distinct()
         least = large.groupBy("u").agg(F.min("w").alias("m"))
         small = large.join(least, "u").where("w <> m").select(F.col("w").alias("u"), F.col("m").alias("w"))
         edges = written(small.unionByName(least.select("u", F.col("m").alias("w"))).distinct(), name)

@@ -25,6 +25,10 @@ branch of the tree is one prefix shingle with the sets that hold it there.
    components leave the task.
 5. Connected components give the classes.
 
+Shingles with a large share of all rows (200 at most) are not shuffled: their
+rows meet the one row of their branch, its smallest vertex or its size, where
+they are.
+
 Nothing is dropped: every pair above the threshold shares a branch, and each
 branch is settled by 3 or 4.
 
@@ -43,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import lower_words, text_key, written
+from tidecast.llm.common import hot_keys, join_one, lower_words, text_key, written
 from tidecast.llm.components import components
 
 #: Part of the hash range whose shingles come first in the order.
@@ -149,9 +153,17 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 def prefixes(table: DataFrame, first: DataFrame, limit: Threshold) -> DataFrame:
     """tok, v, n, pos: prefix shingles that may have partners."""
     vertices = table.join(first.select(F.col("rep").alias("v")), "v")
-    by_token = vertices.select("v", F.explode("low").alias("tok")).repartition("tok")
-    shared = by_token.join(by_token.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-                           .hint("shuffle_hash"), "tok")
+    low = vertices.select("v", F.explode("low").alias("tok"))
+
+    def frequent(tokens: DataFrame) -> DataFrame:
+        return tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+
+    hot = hot_keys(table.select(F.explode("low").alias("tok")), "tok")
+    often = F.col("tok").isin(hot)
+    by_token = (low.where(~often) if hot else low).repartition("tok")
+    shared = by_token.join(frequent(by_token).hint("shuffle_hash"), "tok")
+    if hot:
+        shared = shared.unionByName(low.where(often).join(F.broadcast(frequent(low.where(often))), "tok"))
     # The shared low shingles of one document: no more than its set.
     lists = shared.groupBy("v").agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("known"))
     info = vertices.select("v", "n", F.size("low").alias("n_low"), "high") \
@@ -353,16 +365,17 @@ def linked(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, Data
     table = written(shingles(docs, k, limit), "shingles")
     first = table.where("n > 0").groupBy("digest").agg(F.min("v").alias("rep"))
     prefix = written(prefixes(table, first, limit), "prefixes")
+    hot = hot_keys(prefix, "tok")
     here = F.struct("v", "n", "pos")
 
     # First round: the smallest vertex of each branch and all others.
     lead = prefix.groupBy("tok").agg(F.min(here).alias("l"), F.max("v").alias("top")).where("l.v < top").drop("top")
     near = limit.possible(F.col("n"), F.col("pos"), F.col("l.n"), F.col("l.pos"))
-    pairs = prefix.join(lead, "tok").where((F.col("v") != F.col("l.v")) & near) \
+    pairs = join_one(prefix, lead, "tok", hot).where((F.col("v") != F.col("l.v")) & near) \
         .select(F.col("l.v").alias("a"), F.col("v").alias("b")).distinct()
     pairs = written(pairs, "pairs-1")
     # Any branch of two or more can come up again below, so all its sets are made.
-    active = prefix.join(lead.select("tok"), "tok", "left_semi").select("v").distinct()
+    active = join_one(prefix.select("tok", "v"), lead.select("tok"), "tok", hot).select("v").distinct()
     sets = written(sets_of(docs, table.join(active, "v").select("v", "doc_id", "text_key"), k), "sets")
     links = written(verified(pairs, sets, limit), "links-1")
     parts = components(links)
@@ -372,10 +385,10 @@ def linked(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, Data
     open_ = _with_component(prefix, parts)
     lead = open_.groupBy("tok").agg(F.min(F.struct("v", "c")).alias("l"), F.max("c").alias("high"),
                                     F.min("c").alias("low")).where("low < high").select("tok", "l")
-    open_ = written(open_.join(lead, "tok"), "open-2")
+    open_ = written(join_one(open_, lead, "tok", hot), "open-2")
     second = open_.where("c <> l.c").groupBy("tok").agg(F.min(F.struct("v", "n", "pos", "c")).alias("s"))
     near = limit.possible(F.col("n"), F.col("pos"), F.col("s.n"), F.col("s.pos"))
-    open_ = open_.join(second, "tok").where("v <> l.v and v <> s.v")
+    open_ = join_one(open_, second, "tok", hot).where("v <> l.v and v <> s.v")
     pairs = open_.where(F.col("c") != F.col("s.c")).where(near) \
         .select(F.col("s.v").alias("a"), F.col("v").alias("b")).distinct()
     links = links.unionByName(written(verified(pairs, sets, limit), "links-2"))
@@ -385,7 +398,7 @@ def linked(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, Data
     rest = _with_component(open_.select("tok", "v", "n", "pos"), parts)
     several = rest.groupBy("tok").agg(F.min("c").alias("low"), F.max("c").alias("high"),
                                       F.count(F.lit(1)).alias("size")).where("low < high").select("tok", "size")
-    rest = written(rest.join(several, "tok"), "open-3")
+    rest = written(join_one(rest, several, "tok", hot), "open-3")
     few = rest.where(F.col("size") <= FEW).select("tok", "v", "n", "pos", "c")
     other = few.select("tok", *[F.col(x).alias(f"{x}2") for x in ("v", "n", "pos", "c")])
     near = limit.possible(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2"))
