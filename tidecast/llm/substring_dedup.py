@@ -9,7 +9,9 @@ one with the smallest (doc_id, text key, place); sentences that any other
 span of a repeated hash covers are removed.
 
 A hash that very many documents share is reduced to its first span by a
-partial aggregate; its spans then meet that one row, never each other.
+partial aggregate; its spans then meet that one row, never each other. Hashes
+with a large share of all spans (200 at most) are not shuffled: their first
+spans are sent to all tasks instead.
 
 Defined results: a null text stays null; a run that would reach past the end
 of its document is not hashed, so short documents stay as they are; rows that
@@ -25,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import text_key, written
+from tidecast.llm.common import hot_keys, text_key, written
 
 MIN_SENTENCES = 3
 MIN_WORDS = 24
@@ -80,13 +82,22 @@ def spans(docs: DataFrame, min_sentences: int, min_words: int) -> DataFrame:
 
 def repeated(found: DataFrame) -> DataFrame:
     """The spans that are not the first of their hash. Both sides of the join
-    come from one shuffle by hash."""
+    come from one shuffle by hash; the spans of hot hashes stay in place."""
     key = ["h1", "h2"]
-    by_hash = found.repartition(*key)
     here = F.struct("doc_id", "text_key", "place")
-    first = by_hash.groupBy(*key).agg(F.min(here).alias("origin"), F.max(here).alias("latest")) \
-        .where(~F.col("origin").eqNullSafe(F.col("latest"))).select(*key, "origin")
-    return by_hash.join(first, key).where(~here.eqNullSafe(F.col("origin"))).select("doc_id", "text_key", "place")
+
+    def first(spans: DataFrame) -> DataFrame:
+        return spans.groupBy(*key).agg(F.min(here).alias("origin"), F.max(here).alias("latest")) \
+            .where(~F.col("origin").eqNullSafe(F.col("latest"))).select(*key, "origin")
+
+    hot = hot_keys(found, "h1")
+    often = F.col("h1").isin(hot)
+    by_hash = (found.where(~often) if hot else found).repartition(*key)
+    met = by_hash.join(first(by_hash), key)
+    if hot:
+        stay = found.where(often)
+        met = met.unionByName(stay.join(F.broadcast(first(stay)), key))
+    return met.where(~here.eqNullSafe(F.col("origin"))).select("doc_id", "text_key", "place")
 
 
 def remove_repeats(docs: DataFrame, out: str = "clean", min_sentences: int = MIN_SENTENCES,
