@@ -107,6 +107,42 @@ def quality(text):
             len(w) < 50 or 100 * len(repeat) > 50 * len(w))
 
 
+def keeps(text, limits, lines):
+    """The verdict of the repetition rules: shares of characters in n-grams
+    that repeat an earlier one, and in lines that do."""
+    text = text or ""
+    w = WORDS.findall(text)
+    if quality(text)[-1]:
+        return False
+    for n, limit in limits.items():
+        seen, inside = set(), set()
+        for i in range(len(w) - n + 1):
+            if (g := tuple(w[i:i + n])) in seen:
+                inside.update(range(i, i + n))
+            seen.add(g)
+        if sum(len(w[i]) for i in inside) > limit * sum(map(len, w)):
+            return False
+    seen, chars = set(), 0
+    for line in text.split("\n"):
+        if WORDS.search(line):
+            chars += len(line) * (line in seen)
+            seen.add(line)
+    return chars <= lines * len(text)
+
+
+def without(text, spans, mark="[secret]"):
+    """``text`` with the spans [(start, end)] replaced, overlapping ones as one."""
+    merged = []
+    for a, b in sorted(spans):
+        if merged and a < merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], b)
+        else:
+            merged.append([a, b])
+    for a, b in reversed(merged):
+        text = text[:a] + mark + text[b:]
+    return text
+
+
 def licence(text):
     """(n_words, n_base, first_word, last_word, base_labels)"""
     w = ALNUM.findall(lower(text))

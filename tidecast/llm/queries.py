@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidecast.llm import (decontaminate, hmm, jaccard_join, licenses, packing, quality, secret_scan, sharding,
                           substring_dedup, token_files)
-from tidecast.llm.common import prepare, read
+from tidecast.llm.common import LOWER, UPPER, prepare, read
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -96,5 +96,55 @@ QUERIES = {q.__name__: _prepared(q) for q in (
     op1_substring_dedup, op2_packing, op3_jaccard_join, op4_hmm_score, op5_decontamination, op6_sharding,
     op7_token_files, op8_secrets, op9_quality_rules, op10_license_scan)}
 
+_LOWER = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
+
+_NEAR_SQL = f"""WITH RECURSIVE
+docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingle AS (
+  SELECT DISTINCT r, array_to_string(w[s:s + least(len(w), 4) - 1], ' ') AS g
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS s FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT r, count(*) AS n FROM shingle GROUP BY r),
+shared AS (
+  SELECT a.r AS a, b.r AS b, count(*) AS n_both
+  FROM shingle a JOIN shingle b ON a.g = b.g AND a.r <> b.r GROUP BY a.r, b.r),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b
+  WHERE 100 * n_both >= 85 * (x.n + y.n - n_both)),
+reached AS (
+  SELECT r, r AS other FROM docs
+  UNION
+  SELECT reached.r, links.b FROM reached JOIN links ON links.a = reached.other),
+classes AS (
+  SELECT reached.r, min(docs.doc_id) AS component_id FROM reached JOIN docs ON docs.r = reached.other GROUP BY reached.r)
+SELECT docs.doc_id, coalesce(sizes.n, 0) AS n_shingles, classes.component_id
+FROM docs JOIN classes ON classes.r = docs.r LEFT JOIN sizes ON sizes.r = docs.r"""
+
+_ALNUM_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+_BENCHMARK_SQL = f"""WITH
+docs AS (SELECT row_number() OVER () AS r, doc_id, {_ALNUM_WORDS} AS w FROM documents),
+items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, {_ALNUM_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+wanted AS (
+  SELECT DISTINCT item, k, array_to_string(w[s:s + k - 1], ' ') AS g
+  FROM (SELECT item, w, least(len(w), 13) AS k, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s
+        FROM items WHERE len(w) > 0)),
+widths AS (SELECT DISTINCT k FROM wanted),
+windows AS (
+  SELECT r, k, s, array_to_string(w[s:s + k - 1], ' ') AS g
+  FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM docs, widths)),
+met AS (SELECT r, s, windows.k, item FROM windows JOIN wanted ON windows.k = wanted.k AND windows.g = wanted.g),
+hit AS (
+  SELECT r, count(DISTINCT place) AS n_hit
+  FROM (SELECT r, unnest(range(s, s + k)) AS place FROM (SELECT DISTINCT r, s, k FROM met)) GROUP BY r),
+found AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT r, item FROM met) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hit ON hit.r = docs.r LEFT JOIN found ON found.r = docs.r"""
+
 #: DuckDB statements of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_jaccard_join": _NEAR_SQL, "op5_decontamination": _BENCHMARK_SQL}
