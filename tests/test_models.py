@@ -2,9 +2,10 @@ import datetime
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidecast.models.selection import join_pred_actual, rmse_by_model, select_best_model
+from tidecast.models.selection import join_pred_actual, on_common_rows, rmse_by_model, select_best_model
 from tidecast.models.series import FourierForecaster, TrendWeekdayForecaster
 from tidecast.models.trees import gbt, rmse_of, tune
 from tidecast.sources.retail import DAY_ORIGIN
@@ -117,3 +118,48 @@ def test_forecaster_models_save_and_load(spark, tmp_path):
         a = sorted((r.s, r.day, round(r.yhat, 9)) for r in model.transform(test).collect())
         b = sorted((r.s, r.day, round(r.yhat, 9)) for r in loaded.transform(test).collect())
         assert a == b
+
+
+def test_models_are_compared_on_common_rows(spark):
+    rows = [("a", d, 1.0, "m", 1.0) for d in range(5)] + [("a", d, 1.0, "n", None if d < 2 else 3.0) for d in range(5)]
+    rows += [(None, 1, 1.0, "m", 2.0), (None, 1, 1.0, "n", 2.0), ("a", 9, None, "m", 2.0), ("a", 9, None, "n", 2.0)]
+    scored = spark.createDataFrame(rows, "s string, day int, y double, model string, yhat double")
+    got = rmse_by_model(on_common_rows(scored, ["s", "day"], ["m", "n"], "y", "yhat"), "y", "yhat")
+    assert {r.model: r.n for r in got.collect()} == {"m": 4, "n": 4}
+
+
+def test_null_series_keys_and_short_series(spark):
+    df = _series(spark, lambda k, t: 2.0 + 0.1 * t, range(1, 60), keys=(None,))
+    short = _series(spark, lambda k, t: float(t), range(1, 4), keys=("short",))
+    for rows in (df, df.unionByName(short)):
+        for est in (TrendWeekdayForecaster(labelCol="y", groupCols=["s"]), FourierForecaster(labelCol="y", groupCols=["s"])):
+            scored = est.fit(rows).transform(rows)
+            assert scored.where("yhat is null").count() == 0 and scored.count() == rows.count()
+    coef = FourierForecaster(labelCol="y", groupCols=["s"]).fit(short).coefficients.first().coef
+    assert not any(coef[2:]) and abs(coef[1]) > 0
+    with pytest.raises(ValueError):
+        TrendWeekdayForecaster(labelCol="y").fit(df)
+
+
+def test_scoring_twice_fits_once(spark, monkeypatch):
+    from tidecast.models import series
+
+    df = _series(spark, lambda k, t: t + 1.0, range(1, 40))
+    model = FourierForecaster(labelCol="y", groupCols=["s"]).fit(df)
+    monkeypatch.setattr(series, "_ridge_solver", None)
+    assert model.transform(df).count() == model.transform(df).count() == 39
+    plan = model.coefficients._jdf.queryExecution().toString()
+    assert "FlatMapGroupsInPandas" not in plan and "parquet" in plan.lower()
+
+
+def test_tuning_saves_model_and_trials(spark, tmp_path):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressionModel
+
+    rows = spark.createDataFrame([(float(x), 2.0 * x) for x in range(60)], "x double, LogSales double")
+    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)
+    result = tune(spark, df, df, grid={"maxDepth": [2], "maxIter": [3]})
+    result.save(str(tmp_path / "tuned"))
+    loaded = GBTRegressionModel.load(str(tmp_path / "tuned" / "model"))
+    assert abs(rmse_of(loaded, df) - result.best_loss) < 1e-9
+    assert spark.read.parquet(str(tmp_path / "tuned" / "trials")).count() == 1

@@ -73,11 +73,31 @@ def test_rows_only_queries_run(spark):
 def test_entry_flagship(spark):
     df = entry_mod.entry(spark)
     rows = df.collect()
-    assert df.columns == ["model", "family", "rmse", "n", "chosen"]
+    assert df.columns == ["model", "family", "horizon", "rmse", "n", "chosen"]
+    assert len({r.n for r in rows}) == 1
     assert {r.model for r in rows} == {"trees", "fourier", "trend_weekday"}
     assert sum(r.chosen for r in rows) == 1
 
 
+def test_wide_job_in_either_join_order(spark):
+    from tidecast.functions.columns import day_index, dept_key, revenue, series_key
+    from tidecast.operators.joins import inner_join_on, left_join_using
+    from tidecast.operators.reshape import day_columns, melt
+    from tidecast.plans.wide import sales_by_day, wide_tables
+
+    sales, prices, calendar = wide_tables(spark, SF_SMALL)
+    dated = left_join_using(prices.withColumn("id", series_key("item_id", "store_id", suffix="evaluation")),
+                            calendar, "wm_yr_wk")
+    cells = melt(sales, ["id"], day_columns(sales), "variable", "quantity").withColumnRenamed("id", "id2")
+    other = inner_join_on(cells, dated, [("variable", "d"), ("id2", "id")]).select(
+        "store_id", dept_key("item_id").alias("dept_id"), day_index("variable").alias("day"), "date",
+        revenue("quantity", "sell_price").alias("sales"))
+    other = other.groupBy("store_id", "dept_id", "day", "date").agg(F.round(F.sum("sales"), 2).alias("sales"))
+    ours = sales_by_day(sales, prices, calendar).withColumn("sales", F.round("sales", 2)).select(*other.columns)
+    assert ours.count() == other.count() > 0
+    assert ours.exceptAll(other).count() == 0 and other.exceptAll(ours).count() == 0
+
+
 def test_calendar_table_join_equals_inline_calendar(spark):
     from tidecast.sources.retail import calendar_for_days
 

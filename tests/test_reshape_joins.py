@@ -73,3 +73,12 @@ def _plan(df) -> str:
     with contextlib.redirect_stdout(buf):
         df.explain()
     return buf.getvalue()
+
+
+def test_wide_melt_equals_unpivot(spark):
+    n = 1941
+    schema = "id string, " + ", ".join(f"d_{i} int" for i in range(1, n + 1))
+    rows = [(k, *[None if (i + j) % 7 == 0 else i * j for i in range(1, n + 1)]) for j, k in enumerate("ab")]
+    df = spark.createDataFrame(rows, schema)
+    got = {(r[0], r[1]): r[2] for r in melt(df, ["id"]).collect()}
+    assert got == {(row[0], f"d_{i}"): row[i] for row in rows for i in range(1, n + 1)}

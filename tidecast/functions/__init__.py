@@ -5,7 +5,6 @@ from tidecast.functions.columns import (
     day_number,
     dept_key,
     revenue,
-    safe_ln,
     saturday_wday,
     series_key,
 )
@@ -17,7 +16,6 @@ __all__ = [
     "dept_key",
     "revenue",
     "rmse",
-    "safe_ln",
     "saturday_wday",
     "series_key",
 ]

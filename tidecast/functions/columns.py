@@ -61,8 +61,3 @@ def saturday_wday(date: ColumnOrName) -> Column:
 
 def revenue(quantity: ColumnOrName, price: ColumnOrName) -> Column:
     return _col(quantity) * _col(price)
-
-
-def safe_ln(x: ColumnOrName) -> Column:
-    """Natural log; Spark yields NULL for x <= 0 (also under ANSI)."""
-    return F.ln(_col(x))

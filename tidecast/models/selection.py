@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.functions.metrics import rmse
@@ -25,6 +25,17 @@ def join_pred_actual(actuals: DataFrame, predictions: DataFrame, keys: Sequence[
     return actuals.join(predictions, list(keys), how)
 
 
+def on_common_rows(scored: DataFrame, keys: Sequence[str], models: Sequence[str], label_col: str,
+                   prediction_col: str, model_col: str = "model") -> DataFrame:
+    """The rows of keys for which every one of ``models`` has a prediction and
+    the label is known, so that all models are compared on the same rows. A
+    group holds one row for each model."""
+    known = F.col(label_col).isNotNull() & F.col(prediction_col).isNotNull() & ~F.isnan(prediction_col)
+    present = F.size(F.collect_set(model_col).over(Window.partitionBy(*keys)))
+    return scored.where(known & F.col(model_col).isin(list(models))) \
+        .withColumn("_present", present).where(F.col("_present") == len(set(models))).drop("_present")
+
+
 def rmse_by_model(scored: DataFrame, label_col: str, prediction_col: str,
                   model_col: str = "model", by: Sequence[str] = ()) -> DataFrame:
     """RMSE per model (and per ``by`` group) over rows with a prediction."""

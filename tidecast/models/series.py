@@ -7,17 +7,20 @@ Python.
   ``regr_intercept`` plus the mean residual per weekday. Pure aggregates.
 * :class:`FourierForecaster` - additive linear trend + yearly (order 10) and
   weekly (order 3) Fourier terms, after Taylor & Letham, "Forecasting at
-  Scale" (2018), fitted by ridge least squares. The normal equations of each
-  series (X'X, X'y) are reduced per Arrow batch with numpy and summed per
-  series, so a series holding a large share of the rows is never gathered
-  into one task; only the tiny per-series systems reach the grouped pandas
-  function (``applyInPandas``) that solves them. A within-day term is
-  constant on daily data and is left out.
+  Scale" (2018), fitted by ridge least squares. Rows are shuffled by series
+  and stretch of days and sorted, so that numpy reduces each stretch to one
+  system (X'X, X'y) instead of one for each input batch; only these systems
+  reach the grouped pandas function (``applyInPandas``) that adds and solves
+  them. A within-day term is constant on daily data and is left out. Series
+  shorter than a year have no yearly terms, those shorter than two weeks no
+  weekly ones.
+
+``fit`` writes the coefficient tables, so scoring never fits again. A null in
+a series key is a key like any other.
 """
 
 from __future__ import annotations
 
-import datetime
 import json
 import math
 
@@ -30,7 +33,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from tidecast.sources.retail import DAY_ORIGIN
+from tidecast.operators.joins import null_safe_join
+from tidecast.session import materialize
 
 
 class _SeriesParams(HasLabelCol, HasPredictionCol):
@@ -49,7 +53,10 @@ class _SeriesParams(HasLabelCol, HasPredictionCol):
                          timeCol="day", dateCol="date", cutoff="")
 
     def _keys(self) -> list[str]:
-        return self.getOrDefault(self.groupCols)
+        keys = self.getOrDefault(self.groupCols)
+        if not keys:
+            raise ValueError("groupCols names the series; it must not be empty")
+        return keys
 
     def _training_rows(self, df: DataFrame) -> DataFrame:
         cutoff = self.getOrDefault(self.cutoff)
@@ -72,14 +79,14 @@ class TrendWeekdayForecaster(Estimator, _SeriesParams):
         dow = F.dayofweek(self.getOrDefault(self.dateCol)).cast("int").alias("_dow")
         train = self._training_rows(df).select(*keys, F.col(t).cast("double").alias("_t"),
                                                F.col(y).alias("_y"), dow)
-        trend = train.groupBy(*keys).agg(
+        trend = materialize(train.groupBy(*keys).agg(
             F.regr_slope("_y", "_t").alias("slope"),
             F.regr_intercept("_y", "_t").alias("intercept"),
-        )
+        ), "trend")
         residual = F.col("_y") - (F.col("intercept") + F.col("slope") * F.col("_t"))
-        weekday = (train.join(trend, keys).groupBy(*keys, "_dow")
+        weekday = (null_safe_join(train, trend, keys, "inner").groupBy(*keys, "_dow")
                    .agg(F.avg(residual).alias("effect")))
-        model = TrendWeekdayModel(trend, weekday)
+        model = TrendWeekdayModel(trend, materialize(weekday, "weekday"))
         return self._copyValues(model)
 
 
@@ -120,9 +127,8 @@ class TrendWeekdayModel(Model, _SeriesParams):
     def _transform(self, df: DataFrame) -> DataFrame:
         keys, t = self._keys(), self.getOrDefault(self.timeCol)
         dow = F.dayofweek(self.getOrDefault(self.dateCol)).cast("int")
-        scored = (df.withColumn("_dow", dow)
-                  .join(self.trend, keys, "left")
-                  .join(self.weekday, keys + ["_dow"], "left"))
+        scored = null_safe_join(null_safe_join(df.withColumn("_dow", dow), self.trend, keys),
+                                self.weekday, [*keys, "_dow"])
         yhat = (F.col("intercept") + F.col("slope") * F.col(t).cast("double")
                 + F.coalesce(F.col("effect"), F.lit(0.0)))
         return scored.withColumn(self.getPredictionCol(), yhat).drop(
@@ -163,17 +169,21 @@ def fourier_basis_np(day: np.ndarray, origin_day: float) -> np.ndarray:
 
 
 _UPPER = np.triu_indices(N_TERMS)
+_YEARLY = slice(2, 2 + 2 * YEARLY_ORDER)
+_WEEKLY = slice(2 + 2 * YEARLY_ORDER, N_TERMS)
+#: Days of a series that one task reduces together.
+STRETCH_DAYS = 8192
 
 
 class FourierForecaster(Estimator, _SeriesParams):
     """Fit = two-level aggregation of the normal equations, then a solve.
 
-    1. ``mapInPandas``: each Arrow batch of training rows is reduced with
-       numpy to one partial (n, X'X, X'y) per series present in the batch.
-       This is the map-side combine: a series holding a third of all rows
-       is spread over many tasks and leaves each as one small row.
-    2. ``groupBy(series).applyInPandas``: the partials of one series (at
-       most one per batch) are summed and the ridge system is solved.
+    1. Training rows are shuffled by series and stretch of ``STRETCH_DAYS``
+       days and sorted by series; ``mapInPandas`` reduces them with numpy to
+       one partial (n, first and last day, X'X, X'y) per series and Arrow
+       batch. The shuffle moves a row's keys, day and value only.
+    2. ``groupBy(series).applyInPandas``: the partials of one series are
+       summed and the ridge system is solved.
     """
 
     regParam = Param(Params._dummy(), "regParam", "ridge penalty on seasonal terms",
@@ -195,26 +205,24 @@ class FourierForecaster(Estimator, _SeriesParams):
         key_fields = [f for f in train.schema.fields if f.name in keys]
         partial_schema = StructType(key_fields + [
             StructField("n", LongType()),
+            StructField("first", DoubleType()),
+            StructField("last", DoubleType()),
             StructField("xtx", ArrayType(DoubleType())),
             StructField("xty", ArrayType(DoubleType())),
         ])
-        partials = train.mapInPandas(_partial_normal_equations(keys, origin), partial_schema)
+        by_series = train.repartition(*keys, F.floor(F.col("_t") / STRETCH_DAYS)).sortWithinPartitions(*keys)
+        partials = by_series.mapInPandas(_partial_normal_equations(keys, origin), partial_schema)
         out_schema = StructType(key_fields + [
             StructField("n", LongType()),
             StructField("coef", ArrayType(DoubleType())),
         ])
         solve = _ridge_solver(keys, float(self.getOrDefault(self.regParam)))
         coefficients = partials.groupBy(*keys).applyInPandas(solve, out_schema)
-        model = FourierModel(coefficients, origin)
+        model = FourierModel(materialize(coefficients, "fourier"), origin)
         return self._copyValues(model)
 
     def _origin(self, train: DataFrame) -> float:
-        """Trend origin: the cutoff's day number when a cutoff is set (no
-        job), else the last training day (a one-row aggregate)."""
-        cutoff = self.getOrDefault(self.cutoff)
-        if cutoff:
-            d = datetime.date.fromisoformat(cutoff)
-            return float((d - datetime.date.fromisoformat(DAY_ORIGIN)).days + 1)
+        """Trend origin: the last training day (a one-row aggregate)."""
         last = train.agg(F.max("_t")).first()[0]
         return float(last) if last is not None else 0.0
 
@@ -231,12 +239,18 @@ def _partial_normal_equations(keys: list[str], origin: float):
             for key, idx in groups.items():
                 xi, yi = x[idx], yv[idx]
                 key = key if isinstance(key, tuple) else (key,)
-                rows.append([*key, len(idx), (xi.T @ xi)[_UPPER].tolist(), (xi.T @ yi).tolist()])
-            yield pd.DataFrame(rows, columns=[*keys, "n", "xtx", "xty"])
+                days = pdf["_t"].to_numpy()[idx]
+                rows.append([*map(_plain, key), len(idx), days.min(), days.max(), (xi.T @ xi)[_UPPER].tolist(), (xi.T @ yi).tolist()])
+            yield pd.DataFrame(rows, columns=[*keys, "n", "first", "last", "xtx", "xty"])
 
     return reduce_batches
 
 
+def _plain(key):
+    """A key for Arrow: null rather than NaN."""
+    return None if pd.isna(key) else key
+
+
 def _ridge_solver(keys: list[str], reg: float):
     penalty = np.zeros(N_TERMS)
     penalty[2:] = reg  # trend and level are not shrunk
@@ -247,12 +261,18 @@ def _ridge_solver(keys: list[str], reg: float):
         gram[_UPPER] = np.sum(np.stack(pdf["xtx"].to_numpy()), axis=0)
         gram = gram + np.triu(gram, 1).T
         rhs = np.sum(np.stack(pdf["xty"].to_numpy()), axis=0)
+        days = pdf["last"].max() - pdf["first"].min() + 1
+        used = np.ones(N_TERMS, bool)
+        used[_YEARLY] = days >= YEAR_DAYS
+        used[_WEEKLY] = days >= 2 * WEEK_DAYS
         coef = None
         if n >= 2:
             a = gram + np.diag(penalty + 1e-9 * max(1.0, np.trace(gram) / N_TERMS))
-            coef = np.linalg.lstsq(a, rhs, rcond=None)[0].tolist()
+            solved = np.zeros(N_TERMS)
+            solved[used] = np.linalg.lstsq(a[np.ix_(used, used)], rhs[used], rcond=None)[0]
+            coef = solved.tolist()
         first = pdf.iloc[0]
-        return pd.DataFrame([[*(first[k] for k in keys), n, coef]], columns=[*keys, "n", "coef"])
+        return pd.DataFrame([[*(_plain(first[k]) for k in keys), n, coef]], columns=[*keys, "n", "coef"])
 
     return solve
 
@@ -286,5 +306,5 @@ class FourierModel(Model, _SeriesParams):
         for i, b in enumerate(basis):
             term = F.get(F.col("coef"), i) * b
             yhat = term if yhat is None else yhat + term
-        scored = df.join(self.coefficients.select(*keys, "coef"), keys, "left")
+        scored = null_safe_join(df, self.coefficients.select(*keys, "coef"), keys)
         return scored.withColumn(self.getPredictionCol(), yhat).drop("coef")

@@ -55,6 +55,12 @@ class TuningResult:
     best_loss: float | None
     best_params: dict
 
+    def save(self, path: str) -> None:
+        """Write the trial table and, where a trial succeeded, its model."""
+        self.trials.write.parquet(f"{path}/trials")
+        if self.best_model is not None:
+            self.best_model.write().save(f"{path}/model")
+
 
 def tune(
     spark: SparkSession,

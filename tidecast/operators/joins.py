@@ -9,8 +9,11 @@ partitions. No job counts a side beforehand.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def left_join_using(
@@ -23,6 +26,15 @@ def left_join_using(
     return fact.join(dim, on, "left")
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Equi-join on ``keys`` in which a null key equals a null key, as it does
+    in a grouping; the keys of the right side are dropped."""
+    theirs = {k: f"_right_{k}" for k in keys}
+    right = right.withColumnsRenamed(theirs)
+    cond = reduce(and_, [F.col(k).eqNullSafe(F.col(r)) for k, r in theirs.items()])
+    return left.join(right, cond, how).drop(*theirs.values())
+
+
 def inner_join_on(
     left: DataFrame,
     right: DataFrame,

@@ -6,6 +6,12 @@ import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Value columns beyond which one array is exploded: an ``Expand`` has one
+#: projection for each column, and planning and compiling them costs more
+#: than the rows do.
+WIDE = 64
 
 DAY_COLUMN = re.compile(r"^d_\d+$")
 
@@ -26,12 +32,16 @@ def melt(
     """One output row per (input row, value column); null values are kept.
 
     ``DataFrame.unpivot`` plans as a single ``Expand`` node: rows stream
-    through without building an array per row, and the operator is
-    narrow (no shuffle), so it scales with the input partitions. Value
-    columns must share a type (int and double widen; int and string fail at
-    analysis).
+    through without building an array per row. With more than ``WIDE`` value
+    columns the row's values are exploded from one array with their position,
+    which names the column. Both are narrow (no shuffle), so they scale with
+    the input partitions. Value columns must share a type.
     """
     values = list(value_vars) if value_vars is not None else day_columns(df)
     if not values:
         raise ValueError("melt needs at least one value column")
+    if len(values) > WIDE:
+        cells = F.posexplode(F.array(*[F.col(f"`{v}`") for v in values])).alias("_at", value_name)
+        names = F.array(*[F.lit(v) for v in values])
+        return df.select(*id_vars, cells).select(*id_vars, F.get(names, F.col("_at")).alias(var_name), value_name)
     return df.unpivot(list(id_vars), values, var_name, value_name)

@@ -10,13 +10,14 @@ column carries the same alias on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.functions.columns import day_index, dept_key, series_key
-from tidecast.models.selection import join_pred_actual, rmse_by_model, select_best_model
+from tidecast.functions.columns import day_index, dept_key, revenue, series_key
+from tidecast.models.selection import join_pred_actual, on_common_rows, rmse_by_model, select_best_model
 from tidecast.models.series import FourierForecaster, TrendWeekdayForecaster
 from tidecast.models.trees import gbt, rmse_of, tune
 from tidecast.operators.joins import inner_join_on, left_join_using
@@ -24,6 +25,7 @@ from tidecast.operators.reshape import melt
 from tidecast.operators.split import cutoff_side, time_percent_rank, time_split
 from tidecast.operators.stages import ZeroReplacer, null_profile
 from tidecast.plans import features as fe
+from tidecast.plans.wide import sales_by_day, wide_tables
 from tidecast.session import scratch_path
 from tidecast.sources.files import read_csv, read_parquet, write_csv, write_parquet
 from tidecast.sources.tables import read_table
@@ -107,19 +109,18 @@ def q_string_index(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_one_hot(spark: SparkSession, sf: str) -> DataFrame:
     enc = _encoded(spark, sf)
-    parts = [
-        enc.select(*KEYS, F.lit(c).alias("feature"),
-                   F.posexplode(vector_to_array(c)).alias("slot", "value"))
-        for c in fe.ENCODED
-    ]
-    out = parts[0].unionByName(parts[1])
-    return out.where(F.col("value") != 0).select(*KEYS, "feature", F.col("slot").cast("int"), "value")
+
+    def slots(feature: str) -> F.Column:
+        return F.transform(vector_to_array(feature), lambda v, i: F.struct(
+            F.lit(feature).alias("feature"), i.cast("int").alias("slot"), v.alias("value")))
+
+    return enc.select(*KEYS, F.explode(F.concat(*map(slots, fe.ENCODED))).alias("s")).select(*KEYS, "s.*")
 
 
 def q_encoded_features(spark: SparkSession, sf: str) -> DataFrame:
     assembled = fe.assembler().transform(_encoded(spark, sf))
     entries = assembled.select(*KEYS, F.posexplode(vector_to_array("features")).alias("slot", "value"))
-    return entries.where(F.col("value") != 0).select(*KEYS, F.col("slot").cast("int"), _r("value", 6))
+    return entries.select(*KEYS, F.col("slot").cast("int"), _r("value", 6))
 
 
 # ---------------------------------------------------------------- reshaping
@@ -149,7 +150,7 @@ def q_revenue(spark: SparkSession, sf: str) -> DataFrame:
     part = read_table(spark, sf, "part", ["p_partkey", "p_retailprice"])
     joined = inner_join_on(lines, part, [("l_partkey", "p_partkey")])
     return joined.select("l_orderkey", "l_linenumber",
-                         F.round(F.col("l_quantity") * F.col("p_retailprice"), 2).alias("revenue"))
+                         F.round(revenue("l_quantity", "p_retailprice"), 2).alias("revenue"))
 
 
 def q_replace_zero(spark: SparkSession, sf: str) -> DataFrame:
@@ -159,24 +160,15 @@ def q_replace_zero(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- joins
 
-def _customer_urgent(spark: SparkSession, sf: str) -> DataFrame:
-    cust = read_table(spark, sf, "customer", ["c_custkey", "c_name", "c_mktsegment"])
-    urgent = (read_table(spark, sf, "orders",
-                         ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority"])
-              .where(F.col("o_orderpriority") == "1-URGENT")
-              .withColumnRenamed("o_custkey", "c_custkey"))
-    # Both sides grow with the data: a shuffle join on the key (AQE may
-    # still broadcast a side it measures as small).
-    return cust.join(urgent, "c_custkey", "left")
-
-
 def q_join_left_using(spark: SparkSession, sf: str) -> DataFrame:
-    j = _customer_urgent(spark, sf)
-    return j.select("c_custkey", "c_name", "o_orderkey", _date_str("o_orderdate"), "o_totalprice")
+    """All documents with their labels, which cover some of them."""
+    docs = read_table(spark, sf, "documents", ["doc_id", "lang", "source", "n_chars"])
+    labels = read_table(spark, sf, "labels", ["doc_id", "quality", "toxic"])
+    return left_join_using(docs, labels, "doc_id")
 
 
 def q_null_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return null_profile(_customer_urgent(spark, sf))
+    return null_profile(q_join_left_using(spark, sf))
 
 
 def q_join_inner_multikey(spark: SparkSession, sf: str) -> DataFrame:
@@ -226,11 +218,11 @@ def _scores(spark: SparkSession, sf: str) -> DataFrame:
     model = TrendWeekdayForecaster(groupCols=fe.SERIES, cutoff=FORECAST_CUTOFF).fit(logged)
     trend = model.transform(logged.where(after)).select(
         F.lit("trend_weekday").alias("model"), F.lit("series").alias("family"),
-        "store_id", fe.LABEL, "yhat")
+        *KEYS, fe.LABEL, "yhat")
     naive = join_pred_actual(logged.where(after), _naive_week(logged), KEYS).select(
         F.lit("seasonal_naive").alias("model"), F.lit("baseline").alias("family"),
-        "store_id", fe.LABEL, "yhat")
-    scored = trend.unionByName(naive)
+        *KEYS, fe.LABEL, "yhat")
+    scored = on_common_rows(trend.unionByName(naive), KEYS, ["trend_weekday", "seasonal_naive"], fe.LABEL, "yhat")
     return rmse_by_model(scored, fe.LABEL, "yhat", "model", by=["family", "store_id"])
 
 
@@ -246,11 +238,11 @@ def q_select_best_model(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------ models without a SQL oracle
 
 def _split_features(spark: SparkSession, sf: str):
-    """Assembled features with their time rank, written once; train and test
-    are then plain filters over the written table."""
-    fs = fe.build_features(spark, sf)
-    ranked = fe.materialize(time_percent_rank(fs.assembled, fe.TIME, "_rank"))
-    train = ranked.where(F.col("_rank") <= F.lit(SPLIT_RATIO)).drop("_rank")
+    """Assembled features with their time rank, fitted on the train rows and
+    written once; train and test are then plain filters over the written
+    table. ``_rank`` stays on the train rows, to split off a validation part."""
+    ranked = fe.materialize(fe.build_features(spark, sf, train_ratio=SPLIT_RATIO).assembled, "features")
+    train = ranked.where(F.col("_rank") <= F.lit(SPLIT_RATIO))
     test = ranked.where(F.col("_rank") > F.lit(SPLIT_RATIO)).drop("_rank")
     return train, test
 
@@ -278,29 +270,33 @@ def q_forecast_fourier(spark: SparkSession, sf: str) -> DataFrame:
 def model_choice(spark: SparkSession, sf: str, grid: dict | None = None) -> DataFrame:
     """The end-to-end run: features -> chronological split -> tuned trees,
     Fourier and trend+weekday forecasts scored on the same test rows at the
-    same (log) scale and grain -> per-model RMSE and the chosen model."""
+    same (log) scale and grain -> per-model RMSE and the chosen model.
+
+    The grid point is picked on the last part of the train rows, then fitted
+    on all of them. ``horizon`` says what a model knows: trees see the true
+    values of the days before (one step), the series families none after the
+    train rows (full). No tree model is scored if every trial failed."""
     train, test = _split_features(spark, sf)
-    result = tune(spark, train, test, grid=grid)
-    tree_scored = result.best_model.transform(test).select(
-        F.lit("trees").alias("model"), F.lit("trees").alias("family"), fe.LABEL,
-        F.col("prediction").alias("yhat"))
-    series_parts = []
+    early = F.col("_rank") <= F.lit(SPLIT_RATIO * SPLIT_RATIO)
+    result = tune(spark, train.where(early), train.where(~early), grid=grid, parallelism=4)
+
+    def part(model: str, family: str, horizon: str, rows: DataFrame, yhat: str) -> DataFrame:
+        return rows.select(F.lit(model).alias("model"), F.lit(family).alias("family"),
+                           F.lit(horizon).alias("horizon"), *KEYS, fe.LABEL, F.col(yhat).alias("yhat"))
+
+    parts = []
+    if result.best_model is not None:
+        chosen = gbt(max_depth=result.best_params["maxDepth"], max_iter=result.best_params["maxIter"]).fit(train)
+        parts.append(part("trees", "trees", "one step", chosen.transform(test), "prediction"))
     for name, est in (("fourier", FourierForecaster(groupCols=fe.SERIES)),
                       ("trend_weekday", TrendWeekdayForecaster(groupCols=fe.SERIES))):
-        scored = est.fit(train).transform(test)
-        series_parts.append(scored.select(F.lit(name).alias("model"), F.lit("series").alias("family"),
-                                          fe.LABEL, "yhat"))
-    scored = tree_scored
-    for part in series_parts:
-        scored = scored.unionByName(part)
-    scores = rmse_by_model(scored, fe.LABEL, "yhat", "model", by=["family"])
+        parts.append(part(name, "series", "full", est.fit(train).transform(test), "yhat"))
+    models = ["trees"][:len(parts) - 2] + ["fourier", "trend_weekday"]
+    scored = on_common_rows(reduce(DataFrame.unionByName, parts), KEYS, models, fe.LABEL, "yhat")
+    scores = rmse_by_model(scored, fe.LABEL, "yhat", "model", by=["family", "horizon"])
     best = select_best_model(scores).select("model", F.lit(True).alias("chosen"))
     return scores.join(best, "model", "left").select(
-        "model", "family", "rmse", "n", F.coalesce("chosen", F.lit(False)).alias("chosen"))
-
-
-def q_model_choice(spark: SparkSession, sf: str) -> DataFrame:
-    return model_choice(spark, sf, grid={"maxDepth": [2, 5], "maxIter": [10]})
+        "model", "family", "horizon", "rmse", "n", F.coalesce("chosen", F.lit(False)).alias("chosen"))
 
 
 # ---------------------------------------------------------------- sources/sinks
@@ -313,6 +309,13 @@ def q_scan_csv(spark: SparkSession, sf: str) -> DataFrame:
                        F.col("l_shipdate").cast("string").alias("l_shipdate"))
 
 
+def q_wide_daily_sales(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole job from its own inputs: wide sales, prices and calendar as
+    CSV -> daily revenue of each store and department."""
+    days = sales_by_day(*wide_tables(spark, sf))
+    return days.select("store_id", "dept_id", "day", _date_str("date"), _r("sales", 2))
+
+
 def q_sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     daily = fe.daily_sales(spark, sf)
     path = write_parquet(daily, scratch_path(spark, "daily"), partition_by=["store_id"])
@@ -323,6 +326,7 @@ def q_sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_csv": q_scan_csv,
     "sink_roundtrip": q_sink_roundtrip,
+    "wide_daily_sales": q_wide_daily_sales,
     "series_key": q_series_key,
     "melt": q_melt,
     "day_index": q_day_index,
@@ -350,5 +354,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gbt_rmse": q_gbt_rmse,
     "tune_trials": q_tune_trials,
     "forecast_fourier": q_forecast_fourier,
-    "model_choice": q_model_choice,
+    "model_choice": model_choice,
 }

@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.operators.joins import left_join_using
+from tidecast.operators.split import time_percent_rank
 from tidecast.operators.stages import DailySum, LagFeatures, LogTransformer, MeanImputer, ZeroReplacer
+from tidecast.session import materialize
 from tidecast.sources.retail import CALENDAR_COLUMNS, DAY_ORIGIN, calendar_columns, retail_lines
 
 SERIES = ["store_id", "dept_id"]
@@ -29,6 +31,7 @@ LAG_PREFIX = "LagFeatures"
 NUM_LAGS = 12
 LAG_COLS = [f"{LAG_PREFIX}{i}" for i in range(1, NUM_LAGS + 1)]
 
+# The dataset's column names and the order of the model inputs.
 # Columns indexed as categories; the first two are also one-hot encoded.
 STRING_COLS = ["event_name_1", "event_type_1", "event_name_2", "event_type_2",
                "year", "dept_id", "store_id"]
@@ -112,23 +115,27 @@ class FeatureSet:
     encoder_model: PipelineModel | None = field(default=None)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder: later fits and
-    queries read the written table instead of re-running the fact-table scan,
-    and a lost executor does not send them back to the source."""
-    return df.checkpoint(eager=True)
-
-
-def build_features(spark: SparkSession, sf_dir: str, checkpoint: bool = True) -> FeatureSet:
+def build_features(spark: SparkSession, sf_dir: str, checkpoint: bool = True,
+                   train_ratio: float | None = None) -> FeatureSet:
     """All feature stages; ``checkpoint`` writes the daily table once (it is
-    small: one row per series and day) before the stages that fit."""
+    small: one row per series and day) before the stages that fit. With
+    ``train_ratio`` the imputer and the encoder are fitted on the first part
+    of the time axis only, and ``_rank`` is kept; otherwise on all rows."""
     daily = daily_sales(spark, sf_dir)
     if checkpoint:
         daily = materialize(daily)
     logged = log_sales(daily)
     lagged = lag_features(logged)
-    imputed = impute_lags(lagged)
-    enc_model = encoder().fit(imputed)
+    extra = []
+    if train_ratio is None:
+        imputed = impute_lags(lagged)
+        enc_model = encoder().fit(imputed)
+    else:
+        lagged = materialize(time_percent_rank(lagged, TIME, "_rank"), "ranked")
+        train = F.col("_rank") <= F.lit(train_ratio)
+        imputed = impute_lags(lagged, lagged.where(train))
+        enc_model = encoder().fit(imputed.where(train))
+        extra = ["_rank"]
     encoded = enc_model.transform(imputed)
-    assembled = assembler().transform(encoded).select(*SERIES, TIME, "date", LABEL, "features")
+    assembled = assembler().transform(encoded).select(*SERIES, TIME, "date", LABEL, "features", *extra)
     return FeatureSet(daily, logged, lagged, imputed, encoded, assembled, enc_model)

@@ -117,10 +117,10 @@ def _encoded_entries() -> str:
     parts = [f"SELECT {_keys()}, {slot} AS slot, CAST({c} AS DOUBLE) AS value FROM indexed"
              for slot, c in enumerate(numeric)]
     base = len(numeric)
-    parts.append(f"SELECT {_keys()}, CAST({base} + event_name_1_indexed AS INTEGER) AS slot, CAST(1.0 AS DOUBLE) AS value "
-                 f"FROM indexed WHERE event_name_1_indexed < {n1}")
-    parts.append(f"SELECT {_keys()}, CAST({base} + {n1} + event_type_1_indexed AS INTEGER) AS slot, "
-                 f"1.0 AS value FROM indexed WHERE event_type_1_indexed < (SELECT count(*) FROM idx_event_type_1)")
+    parts.append(f"SELECT {_keys()}, CAST({base} + i AS INTEGER) AS slot, "
+                 f"CAST(event_name_1_indexed = i AS DOUBLE) AS value FROM indexed, idx_event_name_1")
+    parts.append(f"SELECT {_keys()}, CAST({base} + {n1} + i AS INTEGER) AS slot, "
+                 f"CAST(event_type_1_indexed = i AS DOUBLE) AS value FROM indexed, idx_event_type_1")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -147,10 +147,14 @@ FORECAST = [
   FROM logged a LEFT JOIN logged p
     ON p.store_id = a.store_id AND p.dept_id = a.dept_id AND p.day = a.day - 7
   WHERE a.date > {CUT})""",
+    """common_rows AS (
+  SELECT fc.store_id, fc.dept_id, fc.day, fc.LogSales, fc.yhat AS trend, naive.yhat AS naive
+  FROM fc JOIN naive ON naive.store_id = fc.store_id AND naive.dept_id = fc.dept_id AND naive.day = fc.day
+  WHERE fc.LogSales IS NOT NULL AND fc.yhat IS NOT NULL AND naive.yhat IS NOT NULL)""",
     """scored AS (
-  SELECT 'trend_weekday' AS model, 'series' AS family, store_id, LogSales, yhat FROM fc
+  SELECT 'trend_weekday' AS model, 'series' AS family, store_id, LogSales, trend AS yhat FROM common_rows
   UNION ALL
-  SELECT 'seasonal_naive' AS model, 'baseline' AS family, store_id, LogSales, yhat FROM naive)""",
+  SELECT 'seasonal_naive' AS model, 'baseline' AS family, store_id, LogSales, naive AS yhat FROM common_rows)""",
     """scores AS (
   SELECT model, family, store_id,
          sqrt(avg(CASE WHEN LogSales IS NOT NULL AND yhat IS NOT NULL THEN (LogSales - yhat) ^ 2 END)) AS rmse,
@@ -165,10 +169,20 @@ MEASURE_UNION = "\nUNION ALL\n".join(
 TOTALS_UNION = "\nUNION ALL\n".join(
     f"SELECT o_orderkey, '{m}' AS measure, {m} AS order_total FROM totals" for m in cat.MEASURES)
 
-CUSTOMER_URGENT = """cu AS (
-  SELECT c.c_custkey, c.c_name, c.c_mktsegment, o.o_orderkey, o.o_orderdate, o.o_totalprice, o.o_orderpriority
-  FROM customer c
-  LEFT JOIN (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT') o ON o.o_custkey = c.c_custkey)"""
+LABELLED = """SELECT d.doc_id, lang, source, n_chars, quality, toxic
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id"""
+
+# The wide job summed directly: 28-day periods from the first date, four of
+# them to a price week; a price is known for every week an item was sold in.
+WIDE_LINES = """first_date AS (SELECT min(CAST(l_shipdate AS DATE)) AS first FROM lineitem),
+sold AS (
+  SELECT r.r_name AS store_id, p.p_partkey AS item, replace(p.p_brand, '#', '_') AS dept_id, p.p_retailprice AS price,
+         date_diff('day', first, CAST(l_shipdate AS DATE)) // 28 + 1 AS day, l_quantity AS quantity
+  FROM lineitem JOIN part p ON l_partkey = p.p_partkey JOIN supplier s ON l_suppkey = s.s_suppkey
+  JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey, first_date),
+axis AS (SELECT unnest(range(1, max(day) + 1)) AS day FROM sold),
+priced AS (SELECT DISTINCT store_id, item, dept_id, (day - 1) // 4 + 1 AS week, price + ((day - 1) // 4 + 1) % 3 AS price FROM sold),
+cells AS (SELECT store_id, item, day, sum(quantity) AS quantity FROM sold GROUP BY ALL)"""
 
 _daily_cols = ("store_id, dept_id, day, d, wm_yr_wk, weekday, wday, month, year, event_name_1, event_type_1, "
                "event_name_2, event_type_2, snap_CA, snap_TX, snap_WI, CAST(date AS VARCHAR) AS date, "
@@ -191,17 +205,15 @@ FROM part""",
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""",
     "replace_zero": """SELECT l_orderkey, l_linenumber, CASE WHEN l_discount = 0 THEN 0.5 ELSE l_discount END AS l_discount,
        l_tax FROM lineitem""",
-    "join_left_using": _with(CUSTOMER_URGENT)
-    + "SELECT c_custkey, c_name, o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_totalprice FROM cu",
-    "null_profile": _with(CUSTOMER_URGENT) + """SELECT
-  count(*) FILTER (WHERE c_custkey IS NULL) AS c_custkey,
-  count(*) FILTER (WHERE c_name IS NULL) AS c_name,
-  count(*) FILTER (WHERE c_mktsegment IS NULL) AS c_mktsegment,
-  count(*) FILTER (WHERE o_orderkey IS NULL) AS o_orderkey,
-  count(*) FILTER (WHERE o_orderdate IS NULL) AS o_orderdate,
-  count(*) FILTER (WHERE o_totalprice IS NULL OR isnan(o_totalprice)) AS o_totalprice,
-  count(*) FILTER (WHERE o_orderpriority IS NULL) AS o_orderpriority
-FROM cu""",
+    "wide_daily_sales": _with(WIDE_LINES) + """SELECT p.store_id, p.dept_id, CAST(a.day AS INTEGER) AS day,
+       CAST(CAST(first + 28 * CAST(a.day - 1 AS INTEGER) AS DATE) AS VARCHAR) AS date, round(sum(coalesce(c.quantity, 0) * p.price), 2) AS sales
+FROM priced p JOIN axis a ON (a.day - 1) // 4 + 1 = p.week
+LEFT JOIN cells c ON c.store_id = p.store_id AND c.item = p.item AND c.day = a.day, first_date
+GROUP BY p.store_id, p.dept_id, a.day, first""",
+    "join_left_using": LABELLED,
+    "null_profile": "SELECT " + ", ".join(
+        f"count(*) FILTER (WHERE {c} IS NULL) AS {c}"
+        for c in ("doc_id", "lang", "source", "n_chars", "quality", "toxic")) + f" FROM ({LABELLED})",
     "join_inner_multikey": _with(
         "totals AS (SELECT l_orderkey AS o_orderkey, "
         + ", ".join(f"sum({m}) AS {m}" for m in cat.MEASURES) + " FROM lineitem GROUP BY l_orderkey)",
@@ -228,13 +240,13 @@ FROM orders""",
     "string_index": _with(*LOG_BASE, LAGGED, IMPUTED, *_index_ctes())
     + f"SELECT {_keys()}, " + ", ".join(f"{c}_indexed" for c in fe.STRING_COLS) + " FROM indexed",
     "one_hot": _with(*LOG_BASE, LAGGED, IMPUTED, *_index_ctes()) + f"""SELECT {_keys()}, 'event_name_1_encoded' AS feature,
-       CAST(event_name_1_indexed AS INTEGER) AS slot, CAST(1.0 AS DOUBLE) AS value
-FROM indexed WHERE event_name_1_indexed < (SELECT count(*) FROM idx_event_name_1)
+       CAST(i AS INTEGER) AS slot, CAST(event_name_1_indexed = i AS DOUBLE) AS value
+FROM indexed, idx_event_name_1
 UNION ALL
-SELECT {_keys()}, 'event_type_1_encoded' AS feature, CAST(event_type_1_indexed AS INTEGER) AS slot, CAST(1.0 AS DOUBLE) AS value
-FROM indexed WHERE event_type_1_indexed < (SELECT count(*) FROM idx_event_type_1)""",
+SELECT {_keys()}, 'event_type_1_encoded' AS feature, CAST(i AS INTEGER) AS slot, CAST(event_type_1_indexed = i AS DOUBLE) AS value
+FROM indexed, idx_event_type_1""",
     "encoded_features": _with(*LOG_BASE, LAGGED, IMPUTED, *_index_ctes(), f"entries AS ({_encoded_entries()})")
-    + f"SELECT {_keys()}, slot, round(value, 6) AS value FROM entries WHERE value <> 0",
+    + f"SELECT {_keys()}, slot, round(value, 6) AS value FROM entries",
     "forecast_trend": _with(*LOG_BASE, *FORECAST) + f"SELECT {_keys()}, round(yhat, 4) AS yhat FROM fc",
     "join_pred_actual": _with(*LOG_BASE) + f"""SELECT {_keys('a.')}, round(a.LogSales, 6) AS actual, round(p.LogSales, 6) AS yhat
 FROM logged a LEFT JOIN logged p ON p.store_id = a.store_id AND p.dept_id = a.dept_id AND p.day = a.day - 7""",
