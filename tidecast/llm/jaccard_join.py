@@ -25,9 +25,9 @@ branch of the tree is one prefix shingle with the sets that hold it there.
    components leave the task.
 5. Connected components give the classes.
 
-Shingles with a large share of all rows (200 at most) are not shuffled: their
-rows meet the one row of their branch, its smallest vertex or its size, where
-they are.
+Shingles with a large share of all rows (200 at most) are salted in step 2,
+where they come last of the lower part, and later not shuffled: their rows meet
+the one row of their branch, its smallest vertex or its size, where they are.
 
 Nothing is dropped: every pair above the threshold shares a branch, and each
 branch is settled by 3 or 4.
@@ -57,6 +57,8 @@ FEW = 32
 #: Vertices and shingles in a block, about.
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 400_000
 KEEP_WORDS = 250_000
+#: Parts that the rows of a hot shingle are counted in.
+SALTS = 64
 #: Most cells in a table of shingles and probes; probes are taken in parts.
 CELLS = 32_000_000
 
@@ -153,17 +155,18 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 def prefixes(table: DataFrame, first: DataFrame, limit: Threshold) -> DataFrame:
     """tok, v, n, pos: prefix shingles that may have partners."""
     vertices = table.join(first.select(F.col("rep").alias("v")), "v")
-    low = vertices.select("v", F.explode("low").alias("tok"))
-
-    def frequent(tokens: DataFrame) -> DataFrame:
-        return tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-
-    hot = hot_keys(table.select(F.explode("low").alias("tok")), "tok")
-    often = F.col("tok").isin(hot)
-    by_token = (low.where(~often) if hot else low).repartition("tok")
-    shared = by_token.join(frequent(by_token).hint("shuffle_hash"), "tok")
+    by_token = vertices.select("v", F.explode("low").alias("tok"))
+    # Hot shingles are salted and come last of the low ones; all have the same
+    # frequency then, as their parts are not counted together.
+    hot, key = hot_keys(table.select(F.explode("low").alias("tok")), "tok"), ["tok"]
+    df, often = F.col("df"), F.col("tok").isin(hot)
     if hot:
-        shared = shared.unionByName(low.where(often).join(F.broadcast(frequent(low.where(often))), "tok"))
+        key = ["tok", "salt"]
+        by_token = by_token.withColumn("salt", F.when(often, F.pmod("v", F.lit(SALTS))).otherwise(0).cast("int"))
+        df = F.when(often, F.lit(2**62)).otherwise(df)
+    by_token = by_token.repartition(*key)
+    counts = by_token.groupBy(*key).agg(F.count(F.lit(1)).alias("df")).withColumn("df", df).where("df > 1")
+    shared = by_token.join(counts.hint("shuffle_hash"), key)
     # The shared low shingles of one document: no more than its set.
     lists = shared.groupBy("v").agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("known"))
     info = vertices.select("v", "n", F.size("low").alias("n_low"), "high") \
