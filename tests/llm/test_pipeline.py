@@ -110,14 +110,12 @@ def test_hot_keys_change_no_result(spark, monkeypatch):
         found.append(keys(*args))
         return found[-1]
     monkeypatch.setattr(common, "HOT_LEAST", 4)
-    for module in (jaccard_join, substring_dedup):
-        monkeypatch.setattr(module, "hot_keys", hot)
+    monkeypatch.setattr(substring_dedup, "hot_keys", hot)
     assert results() == plain
-    assert sum(map(bool, found)) >= 2
+    assert any(found)
 
 
-def test_components_of_a_star(spark, monkeypatch):
-    monkeypatch.setattr(common, "HOT_LEAST", 2)
+def test_components_of_a_star(spark):
     links = spark.createDataFrame([(7, i) for i in range(8, 60)] + [(90, 91), (91, 92), (3, 59)], "a long, b long")
     got = {r["v"]: r["c"] for r in components(links).collect()}
     assert got == {**{i: 3 for i in range(7, 60)}, 91: 90, 92: 90}

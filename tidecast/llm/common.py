@@ -76,17 +76,6 @@ def hot_keys(rows: DataFrame, *keys: str) -> list[int]:
                    if t["item"] is not None and t["count"] >= least})
 
 
-def join_one(rows: DataFrame, ones: DataFrame, key: str, hot: list[int]) -> DataFrame:
-    """``rows`` joined by ``key`` (never null) to ``ones``, which has one row
-    for each key. The rows of hot keys stay where they are and meet the few
-    rows of ``ones`` there; all others are shuffled by the key."""
-    if not hot:
-        return rows.join(ones, key)
-    often = F.col(key).isin(hot)
-    return rows.where(~often).join(ones.where(~often), key) \
-        .unionByName(rows.where(often).join(F.broadcast(ones.where(often)), key))
-
-
 def lower_words(text: str | None) -> list[bytes]:
     """Words between ASCII blanks, A-Z lower-cased (as UTF-8 bytes).
     ``bytes.lower`` and ``bytes.split`` touch ASCII only."""
