@@ -23,6 +23,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidecast.llm.common import written
+
 # The base rules, in the order that breaks ties of position.
 ASSIGN = (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = r"AKIA[A-Z0-9]{14,}"
@@ -82,16 +84,18 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 def labelled_samples(docs: DataFrame, limit: int = SAMPLE_RUNS) -> DataFrame:
     """(random 1/0, value): at most ``limit`` distinct values of each class."""
-    found = candidates(docs)
     # A hex or access span inside an assignment is the same value once more.
-    random = found.select(F.explode("base.value").alias("value"))
-    ordinary = found.select(F.explode("runs.value").alias("value")).where(F.col("value").rlike(ORDINARY))
+    random = F.transform("base", lambda s: F.struct(F.lit(1).alias("random"), s["value"].alias("value")))
+    ordinary = F.transform(F.filter("runs", lambda s: s["value"].rlike(ORDINARY)),
+                           lambda s: F.struct(F.lit(0).alias("random"), s["value"].alias("value")))
+    # One pass over the texts; the distinct values are written for both classes.
+    found = candidates(docs).select(F.explode(F.concat(random, ordinary)).alias("s"))
+    values = written(found.select("s.*").distinct(), "secret-samples")
 
-    def take(values: DataFrame, label: int) -> DataFrame:
-        return values.distinct().orderBy(F.xxhash64("value"), "value").limit(limit) \
-            .select(F.lit(label).alias("random"), "value")
+    def take(label: int) -> DataFrame:
+        return values.where(F.col("random") == label).orderBy(F.xxhash64("value"), "value").limit(limit)
 
-    return take(random, 1).unionByName(take(ordinary, 0))
+    return take(1).unionByName(take(0))
 
 
 def train(samples: DataFrame) -> list[float]:
