@@ -2,13 +2,15 @@
 
 Templates are short licence notices, each with mandatory key phrases. Their
 words form a positional index (word -> template, position), a fixed table of
-a few hundred rows. The weight of a word is its inverse document frequency,
-counted over all documents. A document's licence words are looked up from the
-rarest on: the ``RARE_WORDS`` distinct licence words of highest weight in it.
-Their postings are intersected by relative position (document position minus
-template position); the best alignment of a template, weighted, is its score.
-A template gives its label if the score reaches ``THRESHOLD`` and one of its
-key phrases stands in the document.
+a few hundred entries. The weight of a word is its inverse document frequency,
+counted over all documents. Each template has its own anchors, its rarest
+words: as many as it takes for the others to weigh less than a key phrase.
+Where a key phrase of a template stands in a document, the postings of the
+template's anchors propose alignments by relative position (document position
+minus template position), and each is scored in place by all words of the
+template. The best alignment weighs as much as the key phrase at least, so it
+holds an anchor and is among them, however many notices the document has.
+A template gives its label if its best score reaches ``THRESHOLD``.
 
 Base labels come from four phrases, wherever their words stand in a row.
 Documents without a licence word need no position; their words are counted
@@ -26,8 +28,9 @@ from pyspark.sql import functions as F
 from tidecast.llm.common import LOWER, UPPER, text_key
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-RARE_WORDS = 8
 THRESHOLD = 0.5
+#: More than the words of a text, twice over.
+SPAN = 1 << 32
 
 # Base phrases and their labels.
 PHRASES = {
@@ -76,7 +79,22 @@ def postings() -> list[tuple[str, int, int]]:
     return [(w, t, p) for t, (_, words, _) in enumerate(TEMPLATES) for p, w in enumerate(words.split())]
 
 
-def scan_licenses(docs: DataFrame, threshold: float = THRESHOLD, rare_words: int = RARE_WORDS) -> DataFrame:
+def rare_anchors(t: int, weight: dict[str, float]) -> list[str]:
+    """Rarest words of a template, without which no alignment reaches the
+    weight of its lightest key phrase."""
+    _, words, keys = TEMPLATES[t]
+    left = sum(weight[w] for w in words.split())
+    least = min(sum(weight[w] for w in key.split()) for key in keys)
+    out = []
+    for w in sorted(set(words.split()), key=lambda w: (-weight[w], w)):
+        if left < least - 1e-6:
+            break
+        out.append(w)
+        left -= weight[w] * words.split().count(w)
+    return out
+
+
+def scan_licenses(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """For each document: n_words, n_base, first_word, last_word, base_labels,
     labels, score, and the best alignment (template number, word offset)."""
     spark = docs.sparkSession
@@ -125,54 +143,68 @@ def scan_licenses(docs: DataFrame, threshold: float = THRESHOLD, rare_words: int
             verified[t] = verified[t] | F.contains(F.col("norm"), F.lit(f" {key} "))
     hits = hits.withColumn("verified", F.array(*verified))
 
-    # Licence words with their positions, the rarest words of each document.
-    heavy = F.map_from_arrays(one_of, F.array(*[F.lit(weight[w]) for w in vocabulary]))
-    present = F.array_sort(F.transform(
-        F.array_intersect(one_of, F.col("words")),
-        lambda w: F.struct((-F.element_at(heavy, w)).alias("lightness"), w.alias("word"))))
-    looked_up = F.transform(F.slice(present, 1, rare_words), lambda s: s["word"])
+    # Anchors of the verified templates with their positions; their postings
+    # propose alignments (template * SPAN + shift + SPAN / 2, a plain number).
+    n = range(len(TEMPLATES))
+    rare = {t: rare_anchors(t, weight) for t in n}
+    looked_up = F.array_distinct(F.flatten(F.array(*[
+        F.when(verified[t], _strings(rare[t])).otherwise(_strings([])) for t in n])))
     hits = hits.withColumn("rare", looked_up)
     positions = F.filter(F.transform(places, lambda i: F.struct(i.alias("at"), F.get(F.col("words"), i).alias("word"))),
                          lambda s: F.array_contains(F.col("rare"), s["word"]))
-    found = hits.select("doc_id", "text_key", F.explode(positions).alias("p")) \
-        .select("doc_id", "text_key", "p.at", "p.word")
-
-    # The index has a row for each template word: a fixed, small table.
-    index = F.broadcast(spark.createDataFrame(
-        [(w, t, p, weight[w]) for w, t, p in postings()], "word string, template int, place int, weight double"))
-    total = {t: sum(weight[w] for w in words.split()) for t, (_, words, _) in enumerate(TEMPLATES)}
-    totals = F.array(*[F.lit(float(total[t]) or 1.0) for t in range(len(TEMPLATES))])
-    aligned = found.join(index, "word") \
-        .groupBy("doc_id", "text_key", "template", (F.col("at") - F.col("place")).alias("shift")) \
-        .agg(F.sum("weight").alias("got"), F.count_distinct("place").alias("n"))
-    best = aligned.select("doc_id", "text_key", "template", "shift",
-                          (F.col("got") / F.get(totals, F.col("template"))).alias("share")) \
-        .groupBy("doc_id", "text_key", "template") \
-        .agg(F.max(F.struct("share", (-F.col("shift")).alias("back"))).alias("top")) \
-        .groupBy("doc_id", "text_key") \
-        .agg(F.collect_list(F.struct(F.col("top.share").alias("share"), "template",
-                                     (-F.col("top.back")).alias("shift"))).alias("tops"))  # one for each template
-    return _assemble(base, hits, best, threshold)
-
-
-def _assemble(base: DataFrame, hits: DataFrame, best: DataFrame, threshold: float) -> DataFrame:
+    entries = {w: [t * SPAN + SPAN // 2 - p for v, t, p in postings() if v == w and w in rare[t]]
+               for w in sorted({w for t in n for w in rare[t]})}
+    index = F.map_from_arrays(_strings(list(entries)), F.array(*[F.array(*map(F.lit, e)).cast("array<bigint>")
+                                                                 for e in entries.values()]))
+    proposed = F.flatten(F.transform(positions, lambda s: F.transform(
+        F.element_at(index, s["word"]), lambda e: e + s["at"])))
+    # (The condition also keeps "rare" and "verified" from being made anew at
+    # each position: what is used once moves into the lambda.)
+    proposed = F.array_distinct(F.filter(
+        proposed, lambda e: F.get(F.col("verified"), F.floor(e / SPAN).cast("int"))))
+    hits = hits.withColumn("proposed", F.when((F.size("rare") > 0) & F.array_contains("verified", True), proposed)
+                           .otherwise(F.array().cast("array<bigint>")))
+
+    # Each proposed alignment, by all words of its template in place.
+    parts = F.array(*[F.array(*[F.struct(F.lit(p).alias("place"), F.lit(w).alias("word"), F.lit(weight[w]).alias("weight"))
+                                for p, w in enumerate(words.split())]) for _, words, _ in TEMPLATES])
+    total = [sum(weight[w] for w in words.split()) for _, words, _ in TEMPLATES]
+    totals = F.array(*[F.lit(float(x) or 1.0) for x in total])
+
+    def scored(e: Column) -> Column:
+        t = F.floor(e / SPAN).cast("int")
+        shift = (e - t.cast("long") * SPAN - SPAN // 2).cast("int")
+        got = F.aggregate(F.get(parts, t), F.lit(0.0), lambda x, s: x + F.when(
+            F.get(F.col("words"), shift + s["place"]) == s["word"], s["weight"]).otherwise(0.0))
+        return F.struct((got / F.get(totals, t)).alias("share"), t.alias("template"), (-shift).alias("back"))
+
+    hits = hits.withColumn("scores", F.transform("proposed", scored))
+
+    def best(t: int) -> Column:
+        return F.array_max(F.filter("scores", lambda s: s["template"] == t))
+
+    hits = hits.withColumn("tops", F.transform(F.array_compact(F.array(*map(best, n))), lambda s: F.struct(
+        s["share"].alias("share"), s["template"].alias("template"), (-s["back"]).alias("shift"))))
+    return _assemble(base, hits, threshold)
+
+
+def _strings(words: list[str]) -> Column:
+    return F.array(*map(F.lit, words)).cast("array<string>")
+
+
+def _assemble(base: DataFrame, hits: DataFrame, threshold: float) -> DataFrame:
     key = ["doc_id", "text_key"]
     names = F.array(*[F.lit(label) for label, _, _ in TEMPLATES])
-    marks = hits.select(*key, "verified", "all_at", "base_set").dropDuplicates(key)
-    same = [F.col(f"m.{k}").eqNullSafe(F.col(f"b.{k}")) for k in key]
-    scored = marks.alias("m").join(best.alias("b"), same, "left").select(
-        *[F.col(f"m.{k}").alias(k) for k in key], "verified", "all_at", "base_set", "tops")
-    scored = scored.withColumn("good", F.filter("tops", lambda s: F.get(F.col("verified"), s["template"]))) \
+    scored = hits.select(*key, "all_at", "base_set", F.col("tops").alias("good")).dropDuplicates(key) \
         .withColumn("taken", F.filter("good", lambda s: s["share"] >= threshold))
-    label = F.transform(F.coalesce("taken", F.array().cast("array<struct<share:double,template:int,shift:int>>")),
-                        lambda s: F.get(names, s["template"]))
+    label = F.transform("taken", lambda s: F.get(names, s["template"]))
     top = F.array_max("good")
     facts = scored.select(
         *key, F.size("all_at").cast("long").alias("n_base"),
         F.array_min("all_at").cast("long").alias("first_word"), F.array_max("all_at").cast("long").alias("last_word"),
         F.array_join(F.array_sort(F.array_distinct("base_set")), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_distinct(F.concat("base_set", label))), ",").alias("labels"),
-        F.greatest(F.coalesce(F.least(top["share"], F.lit(1.0)), F.lit(0.0)),
+        F.greatest(F.least(F.coalesce(top["share"], F.lit(0.0)), F.lit(1.0)),
                    F.when(F.size("base_set") > 0, F.lit(1.0)).otherwise(0.0)).alias("score"),
         top["template"].alias("template"), top["shift"].alias("template_at"))
     none = base.alias("d").join(facts.alias("f"), [F.col(f"d.{k}").eqNullSafe(F.col(f"f.{k}")) for k in key], "left")
