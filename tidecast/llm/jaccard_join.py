@@ -10,27 +10,26 @@ branch of the tree is one prefix shingle with the sets that hold it there.
    counted for that part only, over all documents; any fixed order gives
    whole results, a rare-first one gives small branches. Shingles of
    frequency one are never sent back to their documents.
-3. In each branch the smallest vertex is compared with all others, then a
-   second one with all that are not yet in its component. Length and position
-   bounds drop hopeless pairs; the rest meet their whole sets, exactly once.
-   Branches whose vertices are then all connected need nothing more.
-4. What is left open: in a branch of at most ``FEW`` vertices each meets the
-   others of other components, under the same bounds. Vertices of larger
-   branches are cut into blocks of bounded size, those with the same largest
-   branch together, and each vertex goes with its block, not with each of its
-   branches. Pairs of blocks that share a branch are joined in a trie of the
-   ordered sets: a node's overlap with every probe is its parent's plus one
-   column, so a shared path is walked once; subtrees whose remaining length
-   cannot reach the overlap asked for are pruned. Only links that connect
-   components leave the task.
-5. Connected components give the classes.
+3. In a branch of at most ``FEW`` vertices all pairs meet. Length and position
+   bounds drop hopeless ones; the rest meet their whole sets, exactly once.
+4. Vertices of larger branches are cut into blocks of bounded size, those with
+   the same largest branch together, and each vertex goes with its block, not
+   with each of its branches. Pairs of blocks that share a branch are joined in
+   a trie of the ordered sets: a node's overlap with every probe is its
+   parent's plus one column, so a shared path is walked once; subtrees whose
+   remaining length cannot reach the overlap asked for are pruned. A task finds
+   all links of its blocks; what leaves it is their number for each vertex and
+   the stars that connect the same vertices. A pair whose blocks meet is not
+   met again in 3.
+5. Connected components give the classes, the numbers of links the degrees.
 
 Nothing is dropped: every pair above the threshold shares a branch, and each
-branch is settled by 3 or 4.
+pair of a branch meets in 3 or in 4, and is counted there once.
 
 Defined results: a text without words has the empty set and links with
 nothing; rows that share id and text are one document; a null id belongs to
-its component but does not name it.
+its component but does not name it; a document links with its exact copies
+(another id) and not with itself.
 """
 
 from __future__ import annotations
@@ -48,7 +47,7 @@ from tidecast.llm.components import components
 
 #: Part of the hash range whose shingles come first in the order.
 LOW = 0.25
-#: Vertices of an open branch that meet each other without a trie.
+#: Vertices of a branch that meet each other without a trie.
 FEW = 32
 #: Vertices and shingles in a block, about.
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 400_000
@@ -267,29 +266,27 @@ class Trie:
             out_p.append(p)
 
 
-def _spanning(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect components not yet connected (components given by
-    number); at most one fewer than there are components."""
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    out = []
-    for x, y in np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0).tolist():
-        p, q = root(x), root(y)
-        if p != q:
-            parent[p] = q
-            out.append((x, y))
-    return out
+def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (smallest vertex, other vertex) with the components of the links."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[:len(a)], at[len(a):]
+    label = np.arange(len(ids))
+    while True:
+        new = label.copy()
+        np.minimum.at(new, x, label[y])
+        np.minimum.at(new, y, label[x])
+        new = new[new]
+        if (new == label).all():
+            other = np.flatnonzero(label != np.arange(len(ids)))
+            return ids[label[other]], ids[other]
+        label = new
 
 
 def block_links(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Links (a, b) between components in ``rows(i, j, side, c, s)``: rows of
-    a pair of blocks together. A group holds two blocks at most."""
+    """What the links in ``rows(i, j, side, v, copies, s)``, rows of a pair of
+    blocks together, come to: (a, b) that connect the same vertices, and for
+    each linked vertex (a, n_near), the documents it links with. A group holds
+    two blocks at most."""
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, key, held = Trie(num, den), None, []
 
@@ -298,41 +295,50 @@ def block_links(rows: DataFrame, num: int, den: int) -> DataFrame:
             probes = held if inner else [r for r in held if r[0] == 0]
             sets = held if inner else [r for r in held if r[0] == 1]
             if probes and sets:
-                p, s = trie.links([r[2] for r in probes], [r[2] for r in sets])
-                cp, cs = np.array([r[1] for r in probes])[p], np.array([r[1] for r in sets])[s]
-                links = _spanning(cp[cp != cs], cs[cp != cs])
-                if links:
-                    yield pa.RecordBatch.from_pydict({"a": [x for x, _ in links], "b": [y for _, y in links]})
+                p, s = trie.links([r[3] for r in probes], [r[3] for r in sets])
+                if inner:
+                    p, s = p[p != s], s[p != s]
+                vp, vs = np.array([r[1] for r in probes], np.int64), np.array([r[1] for r in sets], np.int64)
+                near = [(vp, np.bincount(p, np.array([r[2] for r in sets])[s], len(vp)))]
+                if not inner:
+                    near.append((vs, np.bincount(s, np.array([r[2] for r in probes])[p], len(vs))))
+                low, other = _stars(vp[p], vs[s])
+                v = np.concatenate([x[n > 0] for x, n in near])
+                n = np.concatenate([n[n > 0] for _, n in near]).astype(np.int64)
+                if len(v):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate([low, v])), pa.array([*other.tolist(), *[None] * len(v)], pa.int64()),
+                         pa.array([*[None] * len(low), *n.tolist()], pa.int64())], names=["a", "b", "n_near"])
 
         for batch in batches:
-            cols = [batch.column(k).to_pylist() for k in ("i", "j", "side", "c")]
+            cols = [batch.column(k).to_pylist() for k in ("i", "j", "side", "v", "copies")]
             values, ends = batch.column("s").values.to_numpy(), batch.column("s").offsets.to_numpy()
-            for r, (i, j, side, c) in enumerate(zip(*cols)):
+            for r, (i, j, side, v, copies) in enumerate(zip(*cols)):
                 if key is not None and key != (i, j):
                     yield from solve()
                     held = []
                 key = (i, j)
-                held.append((side, c, np.array(values[ends[r]:ends[r + 1]])))
+                held.append((side, v, copies, np.array(values[ends[r]:ends[r + 1]])))
         if held:
             yield from solve()
 
     return rows.repartition("i", "j").sortWithinPartitions("i", "j") \
-        .select("i", "j", "side", "c", "s").mapInArrow(join, "a long, b long")
+        .select("i", "j", "side", "v", "copies", "s").mapInArrow(join, "a long, b long, n_near long")
 
 
 def blocks(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(block of each vertex, pairs of blocks that share a branch) for
-    ``members(tok, v, n, c, size)``. A vertex belongs to its largest branch; a
+    ``members(tok, v, n, size)``. A vertex belongs to its largest branch; a
     branch with many such vertices is salted into blocks of its own, the
     others share blocks."""
-    home = members.groupBy("v", "n", "c").agg(F.max(F.struct("size", "tok")).alias("h")) \
-        .select("v", "n", "c", F.col("h.tok").alias("home"))
+    home = members.groupBy("v", "n").agg(F.max(F.struct("size", "tok")).alias("h")) \
+        .select("v", "n", F.col("h.tok").alias("home"))
     load = F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)
     homes = home.groupBy("home").agg(load.alias("load"))
     shared = homes.where("load < 0.5").agg(F.coalesce(F.ceil(F.sum("load")), F.lit(1)).alias("k")).first()["k"]
     salted = F.xxhash64("home", F.pmod(F.xxhash64("v"), F.ceil("load")))
     of = written(home.join(homes, "home").select(
-        "v", "c", F.when(F.col("load") < 0.5, F.pmod(F.xxhash64("home"), F.lit(shared))).otherwise(salted).alias("block")),
+        "v", F.when(F.col("load") < 0.5, F.pmod(F.xxhash64("home"), F.lit(shared))).otherwise(salted).alias("block")),
         "blocks")
     held = written(members.select("tok", "v").join(of.select("v", "block"), "v").select("tok", "block").distinct(), "held")
     pairs = held.select("tok", F.col("block").alias("i")).join(held.select("tok", F.col("block").alias("j")), "tok") \
@@ -342,84 +348,81 @@ def blocks(members: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 # ------------------------------------------------------------------ the join
 
-def _with_component(prefix: DataFrame, parts: DataFrame) -> DataFrame:
-    return prefix.join(parts, "v", "left").withColumn("c", F.coalesce("c", "v"))
-
-
-def linked(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """(rows, parts): rows(v, doc_id, text_key, n, rep) for all documents, and
-    parts(v, c) for the vertices linked to a smaller one."""
+def linked(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, parts, near): rows(v, doc_id, text_key, n, rep, copies) for all
+    documents, parts(v, c) for the vertices linked to a smaller one, and
+    near(v, n_near), the documents of other vertices that a vertex links with."""
     limit = Threshold(num, den)
     table = written(shingles(docs, k, limit), "shingles")
-    first = table.where("n > 0").groupBy("digest").agg(F.min("v").alias("rep"))
+    first = written(table.where("n > 0").groupBy("digest").agg(
+        F.min("v").alias("rep"), F.count_distinct(F.struct("doc_id", "text_key")).alias("copies")), "vertices")
+    weight = first.select(F.col("rep").alias("v"), "copies")
     prefix = written(prefixes(table, first, limit), "prefixes")
-    here = F.struct("v", "n", "pos")
-
-    # First round: the smallest vertex of each branch and all others.
-    lead = prefix.groupBy("tok").agg(F.min(here).alias("l"), F.max("v").alias("top")).where("l.v < top").drop("top")
-    near = limit.possible(F.col("n"), F.col("pos"), F.col("l.n"), F.col("l.pos"))
-    pairs = prefix.join(lead, "tok").where((F.col("v") != F.col("l.v")) & near) \
-        .select(F.col("l.v").alias("a"), F.col("v").alias("b")).distinct()
-    pairs = written(pairs, "pairs-1")
-    # Any branch of two or more can come up again below, so all its sets are made.
-    active = prefix.join(lead.select("tok"), "tok", "left_semi").select("v").distinct()
+    several = prefix.groupBy("tok").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = written(prefix.join(several, "tok"), "branches")
+    active = members.select("v").distinct()
     sets = written(sets_of(docs, table.join(active, "v").select("v", "doc_id", "text_key"), k), "sets")
-    links = written(verified(pairs, sets, limit), "links-1")
-    parts = components(links)
-
-    # Second round: in branches of several components, the smallest vertex
-    # outside the first one's component and all outside its own.
-    open_ = _with_component(prefix, parts)
-    lead = open_.groupBy("tok").agg(F.min(F.struct("v", "c")).alias("l"), F.max("c").alias("high"),
-                                    F.min("c").alias("low")).where("low < high").select("tok", "l")
-    open_ = written(open_.join(lead, "tok"), "open-2")
-    second = open_.where("c <> l.c").groupBy("tok").agg(F.min(F.struct("v", "n", "pos", "c")).alias("s"))
-    near = limit.possible(F.col("n"), F.col("pos"), F.col("s.n"), F.col("s.pos"))
-    open_ = open_.join(second, "tok").where("v <> l.v and v <> s.v")
-    pairs = open_.where(F.col("c") != F.col("s.c")).where(near) \
-        .select(F.col("s.v").alias("a"), F.col("v").alias("b")).distinct()
-    links = links.unionByName(written(verified(pairs, sets, limit), "links-2"))
-    parts = components(links)
-
-    # The branches still open.
-    rest = _with_component(open_.select("tok", "v", "n", "pos"), parts)
-    several = rest.groupBy("tok").agg(F.min("c").alias("low"), F.max("c").alias("high"),
-                                      F.count(F.lit(1)).alias("size")).where("low < high").select("tok", "size")
-    rest = written(rest.join(several, "tok"), "open-3")
-    few = rest.where(F.col("size") <= FEW).select("tok", "v", "n", "pos", "c")
-    other = few.select("tok", *[F.col(x).alias(f"{x}2") for x in ("v", "n", "pos", "c")])
-    near = limit.possible(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2"))
-    pairs = few.join(other, "tok").where("v < v2 and c <> c2").where(near) \
+
+    # Larger branches: the trie over blocks.
+    of, meeting = blocks(members.where(F.col("size") > FEW))
+    meeting = written(meeting, "meeting")
+    held = of.join(sets, "v").join(weight, "v").select("block", "v", "copies", "s")
+    first_side = meeting.join(held, F.col("i") == F.col("block")).select("i", "j", F.lit(0).alias("side"), "v", "copies", "s")
+    second_side = meeting.where("i < j").join(held, F.col("j") == F.col("block")) \
+        .select("i", "j", F.lit(1).alias("side"), "v", "copies", "s")
+    found = written(block_links(first_side.unionByName(second_side), num, den), "links-trie")
+
+    # Small branches: their pairs, without those whose blocks meet.
+    few = members.where(F.col("size") <= FEW).select("tok", "v", "n", "pos")
+    other = few.select("tok", *[F.col(x).alias(f"{x}2") for x in ("v", "n", "pos")])
+    bounds = limit.possible(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2"))
+    pairs = few.join(other, "tok").where("v < v2").where(bounds) \
         .select(F.col("v").alias("a"), F.col("v2").alias("b")).distinct()
-    links = links.unionByName(written(verified(pairs, sets, limit), "links-3"))
-
-    of, pairs = blocks(rest.where(F.col("size") > FEW))
-    held = of.join(sets, "v").select("block", "c", "s")
-    first_side = pairs.join(held, F.col("i") == F.col("block")).select("i", "j", F.lit(0).alias("side"), "c", "s")
-    second_side = pairs.where("i < j").join(held, F.col("j") == F.col("block")) \
-        .select("i", "j", F.lit(1).alias("side"), "c", "s")
-    more = written(block_links(first_side.unionByName(second_side), num, den), "links-4")
-    parts = components(links.unionByName(more))
+    both = F.col("x").isNotNull() & F.col("y").isNotNull()
+    met = both & (F.least("x", "y") == F.col("i")) & (F.greatest("x", "y") == F.col("j"))
+    pairs = pairs.join(of.select(F.col("v").alias("a"), F.col("block").alias("x")), "a", "left") \
+        .join(of.select(F.col("v").alias("b"), F.col("block").alias("y")), "b", "left") \
+        .join(meeting, met, "left_anti").select("a", "b")
+    links = written(verified(written(pairs, "pairs"), sets, limit), "links")
+
+    parts = components(links.unionByName(found.where("b is not null").select("a", "b")))
+    ends = links.select(F.col("a").alias("u"), F.col("b").alias("v")) \
+        .unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    near = ends.join(weight, "v").select(F.col("u").alias("v"), F.col("copies").alias("n_near")) \
+        .unionByName(found.where("b is null").select(F.col("a").alias("v"), "n_near")) \
+        .groupBy("v").agg(F.sum("n_near").alias("n_near"))
     rows = table.select("v", "doc_id", "text_key", "n", "digest").join(first, "digest", "left") \
         .withColumn("rep", F.coalesce("rep", "v")).drop("digest")
-    return rows, parts
+    return rows, parts, near
 
 
 def _classes(rows: DataFrame, parts: DataFrame) -> DataFrame:
     return rows.join(parts.withColumnRenamed("v", "rep"), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
 
 
+def _named(classes: DataFrame) -> DataFrame:
+    name = classes.groupBy("c").agg(F.min("doc_id").alias("component_id"))
+    return classes.join(name, "c")
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id linked) of all documents."""
-    classes = _classes(*linked(docs, k, num, den))
-    name = classes.groupBy("c").agg(F.min("doc_id").alias("component_id"))
-    return classes.join(name, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    rows, parts, _ = linked(docs, k, num, den)
+    return _named(_classes(rows, parts)).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def jaccard_links(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
+    """The same with n_links, the number of other documents above the threshold."""
+    rows, parts, near = linked(docs, k, num, den)
+    n_links = F.coalesce(F.col("copies") - 1, F.lit(0)) + F.coalesce("n_near", F.lit(0))
+    return _named(_classes(rows, parts)).join(near.withColumnRenamed("v", "rep"), "rep", "left") \
+        .select("doc_id", F.col("n").alias("n_shingles"), "component_id", n_links.cast("long").alias("n_links"))
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """One document of each component, the one with the smallest id, with its
     own columns; of rows that share id and text one stays."""
-    classes = _classes(*linked(docs, k, num, den))
+    classes = _classes(*linked(docs, k, num, den)[:2])
     keep = classes.groupBy("c").agg(F.min(F.struct("doc_id", "text_key")).alias("one")).select("one.*").distinct()
     rows = docs.select(F.struct("*").alias("row"), "doc_id", text_key(F.col("text")).alias("text_key"))
     same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d.text_key") == F.col("k.text_key"))

@@ -37,6 +37,10 @@ def op3_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.jaccard_components(read(spark, sf, "documents"), k=4, num=85, den=100)
 
 
+def op3_jaccard_links(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.jaccard_links(read(spark, sf, "documents"), k=4, num=85, den=100)
+
+
 def op4_hmm_score(spark: SparkSession, sf: str) -> DataFrame:
     return hmm.score_documents(read(spark, sf, "documents"))
 
@@ -93,8 +97,8 @@ def _prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
 
 
 QUERIES = {q.__name__: _prepared(q) for q in (
-    op1_substring_dedup, op2_packing, op3_jaccard_join, op4_hmm_score, op5_decontamination, op6_sharding,
-    op7_token_files, op8_secrets, op9_quality_rules, op10_license_scan)}
+    op1_substring_dedup, op2_packing, op3_jaccard_join, op3_jaccard_links, op4_hmm_score, op5_decontamination,
+    op6_sharding, op7_token_files, op8_secrets, op9_quality_rules, op10_license_scan)}
 
 _LOWER = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
 
