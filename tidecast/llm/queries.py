@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.llm import (decontaminate, hmm, jaccard_join, licenses, packing, quality, secret_scan, sharding,
-                          substring_dedup, token_files)
+from tidecast.llm import (decontaminate, hmm, jaccard_join, licenses, packing, periodic_runs, quality, secret_scan,
+                          sharding, substring_dedup, token_files)
 from tidecast.llm.common import LOWER, UPPER, prepare, read
 
 VOCABULARY = "word_bpe_49k.json"
@@ -87,6 +87,20 @@ def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read(spark, sf, "documents")
+    text = periodic_runs.planted(F.col("doc_id"), F.col("text"))
+    found = periodic_runs.with_runs(docs.select("doc_id", text.alias("text")))
+    best, runs = periodic_runs.best_run(F.col("periodic.runs")), F.col("periodic.runs")
+    lines = F.transform(runs, lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]))
+    return found.select("doc_id", F.size(runs).cast("long").alias("n_runs"), best.alias("best"),
+                        F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size(runs) > 0, "\n").otherwise("")), 256)
+                        .alias("runs_sha256"), F.sha2("periodic.collapsed", 256).alias("collapsed_sha256")) \
+        .select("doc_id", "n_runs", "best.start", "best.length", "best.period",
+                F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+                "runs_sha256", "collapsed_sha256")
+
+
 def _prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         prepare(spark)
@@ -98,7 +112,7 @@ def _prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
 
 QUERIES = {q.__name__: _prepared(q) for q in (
     op1_substring_dedup, op2_packing, op3_jaccard_join, op3_jaccard_links, op4_hmm_score, op5_decontamination,
-    op6_sharding, op7_token_files, op8_secrets, op9_quality_rules, op10_license_scan)}
+    op6_sharding, op7_token_files, op8_secrets, op9_quality_rules, op10_license_scan, op12_periodic_runs)}
 
 _LOWER = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
 
@@ -150,5 +164,43 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM docs LEFT JOIN hit ON hit.r = docs.r LEFT JOIN found ON found.r = docs.r"""
 
+_RUNS_SQL = """WITH
+crc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+    xor(4294967295, list_reduce(
+      list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+      lambda x, b: list_reduce([xor(x, b), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda y, z: xor(y >> 1, 3988292384 * (y & 1))))) AS h
+  FROM documents),
+base AS (
+  SELECT r, doc_id, w, h, CAST(len(w) AS BIGINT) AS n, h // 10 AS g, (h // 10) % greatest(len(w), 1) AS a FROM crc),
+shaped AS (
+  SELECT *, CASE WHEN h % 10 = 0 THEN 1 + (n - a) // (3 + g % 8) ELSE n + 1 END AS p FROM base),
+word AS (
+  SELECT r, i, n, w[1 + CASE WHEN i < a OR p > n THEN i ELSE a + (i - a) % p END] AS x
+  FROM (SELECT *, unnest(range(n)) AS i FROM shaped)),
+same AS (
+  SELECT u.r, u.i, v.i - u.i AS q FROM word u JOIN word v
+  ON u.r = v.r AND u.x = v.x AND v.i > u.i AND 4 * (v.i - u.i) <= u.n),
+stretch AS (
+  SELECT r, q, min(i) AS s, count(*) + q AS m
+  FROM (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM same)
+  GROUP BY r, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+run AS (SELECT r, s, m, min(q) AS q FROM stretch GROUP BY r, s, m),
+listed AS (
+  SELECT r, count(*) AS n_runs, string_agg(s || ',' || m || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+         first(struct_pack(s := s, m := m, q := q) ORDER BY m / q DESC, s, q) AS best
+  FROM run GROUP BY r),
+gone AS (SELECT DISTINCT r, unnest(range(s + q, s + m)) AS i FROM run),
+kept AS (
+  SELECT word.r, string_agg(x, ' ' ORDER BY word.i) AS t
+  FROM word ANTI JOIN gone ON gone.r = word.r AND gone.i = word.i GROUP BY word.r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.m AS length, best.q AS period,
+       1000 * best.m // best.q AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+       sha256(coalesce(t, '')) AS collapsed_sha256
+FROM base LEFT JOIN listed ON listed.r = base.r LEFT JOIN kept ON kept.r = base.r"""
+
 #: DuckDB statements of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {"op3_jaccard_join": _NEAR_SQL, "op5_decontamination": _BENCHMARK_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_jaccard_join": _NEAR_SQL, "op5_decontamination": _BENCHMARK_SQL,
+                              "op12_periodic_runs": _RUNS_SQL}
