@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.llm import (decontaminate, hmm, jaccard_join, licenses, packing, periodic_runs, quality, secret_scan,
-                          sharding, substring_dedup, token_files)
+from tidecast.llm import (decontaminate, hmm, jaccard_join, licenses, packing, periodic_runs, phrase_graph, quality,
+                          secret_scan, sharding, substring_dedup, token_files)
 from tidecast.llm.common import LOWER, UPPER, prepare, read
 
 VOCABULARY = "word_bpe_49k.json"
@@ -87,6 +87,18 @@ def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+#: Phrases that are listed of each language.
+TOP_PHRASES = 2000
+
+
+def op11_phrase_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    graph = phrase_graph.phrase_graph(read(spark, sf, "documents"))
+    found = phrase_graph.top_collocations(phrase_graph.collocations(graph), TOP_PHRASES)
+    paths = phrase_graph.unary_paths(graph).select("lang", "phrase", F.col("n_words").alias("path_words"))
+    return found.join(paths, ["lang", "phrase"], "left").select(
+        "lang", "rank", "phrase", "a", "l", "r", "n", "score", "path_words")
+
+
 def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
     docs = read(spark, sf, "documents")
     text = periodic_runs.planted(F.col("doc_id"), F.col("text"))
@@ -112,7 +124,8 @@ def _prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
 
 QUERIES = {q.__name__: _prepared(q) for q in (
     op1_substring_dedup, op2_packing, op3_jaccard_join, op3_jaccard_links, op4_hmm_score, op5_decontamination,
-    op6_sharding, op7_token_files, op8_secrets, op9_quality_rules, op10_license_scan, op12_periodic_runs)}
+    op6_sharding, op7_token_files, op8_secrets, op9_quality_rules, op10_license_scan,
+    op11_phrase_collocations, op12_periodic_runs)}
 
 _LOWER = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
 
@@ -164,6 +177,50 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM docs LEFT JOIN hit ON hit.r = docs.r LEFT JOIN found ON found.r = docs.r"""
 
+_PHRASES_SQL = f"""WITH RECURSIVE
+docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+         regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]') AS parts FROM documents),
+piece AS (
+  SELECT lang, regexp_extract_all(part, '[^\\x20\\x09]+') AS w FROM (SELECT lang, unnest(parts) AS part FROM docs)),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM piece GROUP BY lang),
+gram AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS p, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM piece, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k)
+  GROUP BY ALL HAVING count(*) >= 100),
+candidate AS (SELECT *, string_split(p, ' ') AS w FROM gram WHERE k >= 2),
+kept AS (
+  SELECT * FROM candidate c WHERE NOT EXISTS (
+    SELECT 1 FROM candidate g WHERE g.lang = c.lang AND g.k > c.k AND 100 * g.f >= 100 * c.f
+    AND contains(' ' || g.p || ' ', ' ' || c.p || ' '))),
+cut AS (
+  SELECT lang, p, f, k, j, array_to_string(w[:j], ' ') AS p1, array_to_string(w[j + 1:], ' ') AS p2
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM kept)),
+scored AS (
+  SELECT c.lang, c.p, c.f AS a, x.f AS l, y.f AS r, n, j,
+         CAST(1000::HUGEINT * c.f * n // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cut c JOIN gram x ON x.lang = c.lang AND x.p = c.p1 JOIN gram y ON y.lang = c.lang AND y.p = c.p2
+  JOIN total ON total.lang = c.lang),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, j) AS place FROM scored),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank, p, a, l, r, n, score
+  FROM best WHERE place = 1),
+edge AS (
+  SELECT lang, p, f, array_to_string(w[:4], ' ') AS u, array_to_string(w[2:], ' ') AS v FROM candidate WHERE k = 5),
+link AS (
+  SELECT e.lang, e.p AS p, g.p AS q
+  FROM gram x JOIN edge e ON x.lang = e.lang AND x.p = e.v AND x.f = e.f
+  JOIN edge g ON x.lang = g.lang AND x.p = g.u AND x.f = g.f WHERE x.k = 4 AND e.p <> g.p),
+walk AS (
+  SELECT lang, p AS head, p, 0 AS step FROM edge ANTI JOIN link ON link.lang = edge.lang AND link.q = edge.p
+  UNION ALL
+  SELECT walk.lang, head, link.q, step + 1 FROM walk JOIN link ON link.lang = walk.lang AND link.p = walk.p),
+path AS (SELECT lang, p, max(step) OVER (PARTITION BY lang, head) + 5 AS words FROM walk)
+SELECT ranked.lang, rank, ranked.p AS phrase, a, l, r, n, score,
+       CASE WHEN len(string_split(ranked.p, ' ')) = 5 THEN CAST(coalesce(words, 5) AS BIGINT) END AS path_words
+FROM ranked LEFT JOIN path ON path.lang = ranked.lang AND path.p = ranked.p WHERE rank <= 2000"""
+
 _RUNS_SQL = """WITH
 crc AS (
   SELECT row_number() OVER () AS r, doc_id,
@@ -203,4 +260,4 @@ FROM base LEFT JOIN listed ON listed.r = base.r LEFT JOIN kept ON kept.r = base.
 
 #: DuckDB statements of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {"op3_jaccard_join": _NEAR_SQL, "op5_decontamination": _BENCHMARK_SQL,
-                              "op12_periodic_runs": _RUNS_SQL}
+                              "op11_phrase_collocations": _PHRASES_SQL, "op12_periodic_runs": _RUNS_SQL}
