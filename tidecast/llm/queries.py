@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.llm import (decontaminate, hmm, jaccard_join, licenses, packing, periodic_runs, phrase_graph, quality,
-                          secret_scan, sharding, substring_dedup, token_files)
+                          secret_scan, sharding, substring_dedup, suffix_dedup, token_files)
 from tidecast.llm.common import LOWER, UPPER, prepare, read
 
 VOCABULARY = "word_bpe_49k.json"
@@ -113,6 +113,13 @@ def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
                 "runs_sha256", "collapsed_sha256")
 
 
+def op13_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    clean = suffix_dedup.remove_repeated_bytes(read(spark, sf, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["z"] - s["a"])
+    return clean.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def _prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         prepare(spark)
@@ -125,7 +132,7 @@ def _prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
 QUERIES = {q.__name__: _prepared(q) for q in (
     op1_substring_dedup, op2_packing, op3_jaccard_join, op3_jaccard_links, op4_hmm_score, op5_decontamination,
     op6_sharding, op7_token_files, op8_secrets, op9_quality_rules, op10_license_scan,
-    op11_phrase_collocations, op12_periodic_runs)}
+    op11_phrase_collocations, op12_periodic_runs, op13_suffix_dedup)}
 
 _LOWER = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
 
@@ -258,6 +265,34 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.m AS length,
        sha256(coalesce(t, '')) AS collapsed_sha256
 FROM base LEFT JOIN listed ON listed.r = base.r LEFT JOIN kept ON kept.r = base.r"""
 
+#: 400 hexadecimal digits are 200 bytes; windows are cut from blocks of 512.
+_SUFFIX_SQL = """WITH
+docs AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+block AS (
+  SELECT r, b, substring(h, 2 * b + 1, 1422) AS part
+  FROM (SELECT r, h, unnest(range(0, len(h) // 2, 512)) AS b FROM docs)),
+win AS (
+  SELECT r, b + j AS i, md5_number(substring(part, 2 * j + 1, 400)) AS g
+  FROM (SELECT r, b, part, unnest(range(0, least(512, len(part) // 2 - 199))) AS j FROM block)),
+again AS (SELECT r, i FROM win WHERE g IN (SELECT g FROM win GROUP BY g HAVING count(*) > 1)),
+island AS (
+  SELECT r, i, sum(CASE WHEN i <= before + 200 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS k
+  FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM again)),
+span AS (SELECT r, min(i) AS a, max(i) + 200 AS z FROM island GROUP BY r, k),
+cut AS (
+  SELECT r, a, z, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS from_,
+         lead(a) OVER (PARTITION BY r ORDER BY a) IS NULL AS final FROM span),
+found AS (
+  SELECT docs.r, sum(z - a) AS n_removed, count(*) AS n_spans,
+         string_agg(substring(h, 2 * from_ + 1, 2 * (a - from_)) || CASE WHEN final THEN substring(h, 2 * z + 1) ELSE '' END,
+                    '' ORDER BY a) AS kept
+  FROM cut JOIN docs ON docs.r = cut.r GROUP BY docs.r)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM docs LEFT JOIN found ON found.r = docs.r"""
+
 #: DuckDB statements of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {"op3_jaccard_join": _NEAR_SQL, "op5_decontamination": _BENCHMARK_SQL,
-                              "op11_phrase_collocations": _PHRASES_SQL, "op12_periodic_runs": _RUNS_SQL}
+                              "op11_phrase_collocations": _PHRASES_SQL, "op12_periodic_runs": _RUNS_SQL,
+                              "op13_suffix_dedup": _SUFFIX_SQL}
