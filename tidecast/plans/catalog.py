@@ -27,7 +27,7 @@ from tidecast.operators.stages import ZeroReplacer, null_profile
 from tidecast.plans import features as fe
 from tidecast.plans.wide import sales_by_day, wide_tables
 from tidecast.session import scratch_path
-from tidecast.sources.files import read_csv, read_parquet, write_csv, write_parquet
+from tidecast.sources.files import read_csv, read_csv_by_name, read_parquet, write_csv, write_parquet
 from tidecast.sources.tables import read_table
 
 # Forecast origin for the per-series families (the reference passes a date
@@ -313,7 +313,36 @@ def q_wide_daily_sales(spark: SparkSession, sf: str) -> DataFrame:
     """The whole job from its own inputs: wide sales, prices and calendar as
     CSV -> daily revenue of each store and department."""
     days = sales_by_day(*wide_tables(spark, sf))
-    return days.select("store_id", "dept_id", "day", _date_str("date"), _r("sales", 2))
+    return days.select(*[c for c in days.columns if c not in ("date", "sales")], _date_str("date"), _r("sales", 2))
+
+
+def _wide_daily(spark: SparkSession, sf: str) -> DataFrame:
+    return fe.materialize(sales_by_day(*wide_tables(spark, sf)), "wide-daily")
+
+
+def q_wide_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Features of the same job: log, lags and their fill from the daily table
+    that came from files."""
+    logged = fe.feature_set(_wide_daily(spark, sf)).imputed
+    return logged.select(*KEYS, _r(fe.LABEL, 6), *[_r(c, 6) for c in fe.LAG_COLS])
+
+
+def q_scan_csv_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines as CSV with columns in another order and one more, and in every
+    seventh order a date that is none: columns are bound by name, and the
+    rejected records are counted, file by file or, as here, in all."""
+    lines = read_table(spark, sf, "lineitem")
+    when = F.when(F.col("l_orderkey") % 7 == 0, F.lit("soon")).otherwise(F.col("l_shipdate").cast("date").cast("string"))
+    order = ["l_shipdate", "l_tax", "l_linenumber", "comment", "l_orderkey", "l_quantity"]
+    path = write_csv(lines.withColumn("l_shipdate", when).withColumn("comment", F.lit("a, b")).select(*order),
+                     scratch_path(spark, "by-name"))
+    rows, rejected = read_csv_by_name(spark, path, {"l_orderkey": "bigint", "l_linenumber": "int", "l_quantity": "double",
+                                                    "l_shipdate": "date"})
+    refused = rejected.agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy("l_shipdate").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("quantity")) \
+        .select(_date_str("l_shipdate"), "n_lines", _r("quantity", 2)) \
+        .unionByName(refused.select(F.lit("rejected").alias("l_shipdate"), F.col("n").alias("n_lines"),
+                                    F.lit(0.0).alias("quantity")))
 
 
 def q_sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -326,7 +355,9 @@ def q_sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_csv": q_scan_csv,
     "sink_roundtrip": q_sink_roundtrip,
+    "scan_csv_by_name": q_scan_csv_by_name,
     "wide_daily_sales": q_wide_daily_sales,
+    "wide_features": q_wide_features,
     "series_key": q_series_key,
     "melt": q_melt,
     "day_index": q_day_index,

@@ -115,15 +115,12 @@ class FeatureSet:
     encoder_model: PipelineModel | None = field(default=None)
 
 
-def build_features(spark: SparkSession, sf_dir: str, checkpoint: bool = True,
-                   train_ratio: float | None = None) -> FeatureSet:
-    """All feature stages; ``checkpoint`` writes the daily table once (it is
-    small: one row per series and day) before the stages that fit. With
-    ``train_ratio`` the imputer and the encoder are fitted on the first part
-    of the time axis only, and ``_rank`` is kept; otherwise on all rows."""
-    daily = daily_sales(spark, sf_dir)
-    if checkpoint:
-        daily = materialize(daily)
+def feature_set(daily: DataFrame, train_ratio: float | None = None) -> FeatureSet:
+    """All feature stages over a daily table with its calendar columns, from
+    whatever source; written once by the caller (it is small: one row per
+    series and day), as several stages fit on it. With ``train_ratio`` the
+    imputer and the encoder are fitted on the first part of the time axis only,
+    and ``_rank`` is kept; otherwise on all rows."""
     logged = log_sales(daily)
     lagged = lag_features(logged)
     extra = []
@@ -139,3 +136,10 @@ def build_features(spark: SparkSession, sf_dir: str, checkpoint: bool = True,
     encoded = enc_model.transform(imputed)
     assembled = assembler().transform(encoded).select(*SERIES, TIME, "date", LABEL, "features", *extra)
     return FeatureSet(daily, logged, lagged, imputed, encoded, assembled, enc_model)
+
+
+def build_features(spark: SparkSession, sf_dir: str, checkpoint: bool = True,
+                   train_ratio: float | None = None) -> FeatureSet:
+    """:func:`feature_set` over the order tables in their retail roles."""
+    daily = daily_sales(spark, sf_dir)
+    return feature_set(materialize(daily) if checkpoint else daily, train_ratio)

@@ -172,17 +172,22 @@ TOTALS_UNION = "\nUNION ALL\n".join(
 LABELLED = """SELECT d.doc_id, lang, source, n_chars, quality, toxic
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id"""
 
-# The wide job summed directly: 28-day periods from the first date, four of
-# them to a price week; a price is known for every week an item was sold in.
-WIDE_LINES = """first_date AS (SELECT min(CAST(l_shipdate AS DATE)) AS first FROM lineitem),
-sold AS (
+# The wide job summed directly: a price is known for every week (of seven days
+# from the origin) in which a store sold an item, and holds for all its days.
+WIDE_DAILY0 = f"""sold AS (
   SELECT r.r_name AS store_id, p.p_partkey AS item, replace(p.p_brand, '#', '_') AS dept_id, p.p_retailprice AS price,
-         date_diff('day', first, CAST(l_shipdate AS DATE)) // 28 + 1 AS day, l_quantity AS quantity
+         date_diff('day', DATE '{DAY_ORIGIN}', CAST(l_shipdate AS DATE)) + 1 AS day, l_quantity AS quantity
   FROM lineitem JOIN part p ON l_partkey = p.p_partkey JOIN supplier s ON l_suppkey = s.s_suppkey
-  JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey, first_date),
-axis AS (SELECT unnest(range(1, max(day) + 1)) AS day FROM sold),
-priced AS (SELECT DISTINCT store_id, item, dept_id, (day - 1) // 4 + 1 AS week, price + ((day - 1) // 4 + 1) % 3 AS price FROM sold),
-cells AS (SELECT store_id, item, day, sum(quantity) AS quantity FROM sold GROUP BY ALL)"""
+  JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey),
+axis AS (SELECT unnest(range(min(day), max(day) + 1)) AS day FROM sold),
+priced AS (SELECT DISTINCT store_id, item, dept_id, day // 7 + 1 AS week, price + (day // 7 + 1) % 3 AS price FROM sold),
+cells AS (SELECT store_id, item, day, sum(quantity) AS quantity FROM sold GROUP BY ALL),
+daily0 AS (
+  SELECT p.store_id, p.dept_id, CAST(a.day AS INTEGER) AS day,
+         CAST(DATE '{DAY_ORIGIN}' + CAST(a.day - 1 AS INTEGER) AS DATE) AS date, sum(coalesce(c.quantity, 0) * p.price) AS sales
+  FROM priced p JOIN axis a ON a.day // 7 + 1 = p.week
+  LEFT JOIN cells c ON c.store_id = p.store_id AND c.item = p.item AND c.day = a.day
+  GROUP BY p.store_id, p.dept_id, a.day)"""
 
 _daily_cols = ("store_id, dept_id, day, d, wm_yr_wk, weekday, wday, month, year, event_name_1, event_type_1, "
                "event_name_2, event_type_2, snap_CA, snap_TX, snap_WI, CAST(date AS VARCHAR) AS date, "
@@ -205,11 +210,12 @@ FROM part""",
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""",
     "replace_zero": """SELECT l_orderkey, l_linenumber, CASE WHEN l_discount = 0 THEN 0.5 ELSE l_discount END AS l_discount,
        l_tax FROM lineitem""",
-    "wide_daily_sales": _with(WIDE_LINES) + """SELECT p.store_id, p.dept_id, CAST(a.day AS INTEGER) AS day,
-       CAST(CAST(first + 28 * CAST(a.day - 1 AS INTEGER) AS DATE) AS VARCHAR) AS date, round(sum(coalesce(c.quantity, 0) * p.price), 2) AS sales
-FROM priced p JOIN axis a ON (a.day - 1) // 4 + 1 = p.week
-LEFT JOIN cells c ON c.store_id = p.store_id AND c.item = p.item AND c.day = a.day, first_date
-GROUP BY p.store_id, p.dept_id, a.day, first""",
+    "wide_daily_sales": _with(WIDE_DAILY0, DAILY) + f"SELECT {_daily_cols} FROM daily",
+    "wide_features": _with(WIDE_DAILY0, DAILY, LOGGED, LAGGED, IMPUTED)
+    + f"SELECT {_keys()}, round(LogSales, 6) AS LogSales, " + ", ".join(_r(c, 6) for c in LAGS) + " FROM imputed",
+    "scan_csv_by_name": """SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate, count(*) AS n_lines,
+       round(sum(l_quantity), 2) AS quantity FROM lineitem WHERE l_orderkey % 7 <> 0 GROUP BY 1
+UNION ALL SELECT 'rejected', count(*), 0.0 FROM lineitem WHERE l_orderkey % 7 = 0""",
     "join_left_using": LABELLED,
     "null_profile": "SELECT " + ", ".join(
         f"count(*) FILTER (WHERE {c} IS NULL) AS {c}"

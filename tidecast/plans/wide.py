@@ -1,87 +1,113 @@
-"""The retail job from its own inputs: wide sales, prices and a calendar, each
-a CSV file read with an explicit schema.
+"""The retail job from its own inputs: wide sales, prices and a calendar, CSV
+files with a header, read by column name.
 
-``sales_by_day`` melts the sales, gives each cell its calendar row, joins the
+``sales_by_day`` melts the sales, gives each cell its calendar week, joins the
 price of the item's week and sums revenue by store, department and day. The
 calendar has one row for each day and is joined first: the price table then
 meets the cells on (series, week) as it is, instead of being repeated for each
-day of a week.
+day of a week. The attributes of a day are attached after the sum, so the rows
+that are shuffled carry three keys and a number.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, StructField, StructType
 
-from tidecast.functions.columns import day_index, dept_key, revenue, series_key
+from tidecast.functions.columns import day_index, day_number, dept_key, revenue, series_key
 from tidecast.operators.joins import inner_join_on
 from tidecast.operators.reshape import day_columns, melt
 from tidecast.operators.stages import DailySum
+from tidecast.plans.features import SERIES, TIME, with_calendar
 from tidecast.session import materialize, scratch_path
-from tidecast.sources.files import read_csv, write_csv
-from tidecast.sources.retail import store_of_supplier
+from tidecast.sources.files import read_csv_by_name, write_csv
+from tidecast.sources.retail import CALENDAR_COLUMNS, DAY_ORIGIN, calendar_for_days, store_of_supplier
 from tidecast.sources.tables import read_table
 
-# The column names of the dataset's files.
-CALENDAR = StructType([StructField("date", DateType()), StructField("wm_yr_wk", IntegerType()),
-                       StructField("d", StringType())])
-PRICES = StructType([StructField("store_id", StringType()), StructField("item_id", StringType()),
-                     StructField("wm_yr_wk", IntegerType()), StructField("sell_price", DoubleType())])
-SALES_KEYS = ["id", "item_id", "dept_id", "store_id"]
+# The column names of the dataset's files and their types.
+CALENDAR = {
+    "date": "date", "wm_yr_wk": "int", "weekday": "string", "wday": "int", "month": "int", "year": "int",
+    "d": "string", "event_name_1": "string", "event_type_1": "string", "event_name_2": "string",
+    "event_type_2": "string", "snap_CA": "int", "snap_TX": "int", "snap_WI": "int",
+}
+PRICES = {"store_id": "string", "item_id": "string", "wm_yr_wk": "int", "sell_price": "double"}
+SALES = {"id": "string", "item_id": "string", "dept_id": "string", "cat_id": "string", "store_id": "string",
+         "state_id": "string"}
+DAYS = {r"d_\d+": "double"}
 
-PERIOD_DAYS, WEEK_PERIODS = 28, 4
 
+@dataclass
+class RetailFiles:
+    """The three tables, and the records of their files that could not be read:
+    ``rejected(table, file, record)``."""
 
-def sales_schema(days: int) -> StructType:
-    """Keys as text and one number for each day ``d_1`` ... ``d_<days>``."""
-    return StructType([StructField(k, StringType()) for k in SALES_KEYS]
-                      + [StructField(f"d_{i}", DoubleType()) for i in range(1, days + 1)])
+    sales: DataFrame
+    prices: DataFrame
+    calendar: DataFrame
+    rejected: DataFrame
 
 
-def wide_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(sales, prices, calendar) made from the order tables, written as CSV
-    and read back. A "day" is a period of 28 days, a price week has four; the
-    time axis runs from the first to the last ship date."""
+def read_retail(spark: SparkSession, sales: str, prices: str, calendar: str) -> RetailFiles:
+    """Read the three files (or folders of files) by their headers."""
+    read = {"sales": read_csv_by_name(spark, sales, SALES, DAYS), "prices": read_csv_by_name(spark, prices, PRICES),
+            "calendar": read_csv_by_name(spark, calendar, CALENDAR)}
+    rejected = reduce(DataFrame.unionByName, [bad.select(F.lit(name).alias("table"), "file", "record")
+                                              for name, (_, bad) in read.items()])
+    return RetailFiles(*[rows for rows, _ in read.values()], rejected)
+
+
+def write_retail(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Files of the dataset's shape made from the order tables: one column for
+    each day from the first to the last ship date, one price for each item,
+    store and week with a sale, one calendar row for each day. Returns paths."""
     lines = read_table(spark, sf_dir, "lineitem", ["l_partkey", "l_suppkey", "l_quantity", "l_shipdate"])
-    first, last = lines.select(F.to_date("l_shipdate").alias("d")).agg(F.min("d"), F.max("d")).first()
-    if first is None:
-        return tuple(spark.createDataFrame([], s) for s in (sales_schema(1), PRICES, CALENDAR))
-    days = (last - first).days // PERIOD_DAYS + 1
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand", "p_retailprice"])
     item = F.concat_ws("_", F.regexp_replace("p_brand", "#", "_"), F.col("p_partkey").cast("string"))
-    day = F.floor(F.datediff(F.to_date("l_shipdate"), F.lit(first)) / PERIOD_DAYS) + 1
     sold = materialize(
         lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(store_of_supplier(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy("store_id", item.alias("item_id"), "p_retailprice", day.cast("int").alias("day"))
+        .groupBy("store_id", item.alias("item_id"), "p_retailprice", day_number("l_shipdate", DAY_ORIGIN).alias("day"))
         .agg(F.sum("l_quantity").cast("double").alias("quantity")), "sold")
+    first, last = sold.agg(F.min("day"), F.max("day")).first()
+    days = [f"d_{i}" for i in range(first, last + 1)] if first is not None else ["d_1"]
 
-    wide = sold.withColumn("d", F.concat(F.lit("d_"), F.col("day").cast("string"))) \
-        .groupBy("store_id", "item_id").pivot("d", [f"d_{i}" for i in range(1, days + 1)]).agg(F.sum("quantity")) \
-        .na.fill(0.0).withColumn("id", series_key("item_id", "store_id", suffix="evaluation")) \
-        .withColumn("dept_id", dept_key("item_id"))
-    week = (F.floor((F.col("day") - 1) / WEEK_PERIODS) + 1).cast("int")
+    label = F.concat(F.lit("d_"), F.col("day").cast("string"))
+    wide = sold.withColumn("d", label).groupBy("store_id", "item_id").pivot("d", days).agg(F.sum("quantity")) \
+        .na.fill(0.0).withColumns({"id": series_key("item_id", "store_id", suffix="evaluation"),
+                                   "dept_id": dept_key("item_id"), "cat_id": F.split_part("item_id", F.lit("_"), F.lit(1)),
+                                   "state_id": F.left("store_id", F.lit(2))})
+    week = (F.floor(F.col("day") / 7) + 1).cast("int")
     prices = sold.select("store_id", "item_id", week.alias("wm_yr_wk"),
                          (F.col("p_retailprice") + week % 3).alias("sell_price")).distinct()
-    calendar = spark.range(1, days + 1).select(
-        F.date_add(F.lit(first), ((F.col("id") - 1) * PERIOD_DAYS).cast("int")).alias("date"),
-        (F.floor((F.col("id") - 1) / WEEK_PERIODS) + 1).cast("int").alias("wm_yr_wk"),
-        F.concat(F.lit("d_"), F.col("id").cast("string")).alias("d"))
-    schemas = (sales_schema(days), PRICES, CALENDAR)
-    return tuple(read_csv(spark, write_csv(t.select(*s.names), scratch_path(spark, name)), s)
-                 for t, s, name in zip((wide, prices, calendar), schemas, ("sales", "prices", "calendar")))
+    calendar = calendar_for_days(sold.select("day")) if first is not None else calendar_for_days(
+        spark.range(1).select(F.lit(1).alias("day")))
+    paths = {}
+    for name, table, columns in (("sales", wide, [*SALES, *days]), ("prices", prices, PRICES),
+                                 ("calendar", calendar, CALENDAR)):
+        paths[name] = write_csv(table.select(*columns), scratch_path(spark, name))
+    return paths
+
+
+def wide_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sales, prices, calendar) written by :func:`write_retail` and read back."""
+    files = read_retail(spark, **write_retail(spark, sf_dir))
+    return files.sales, files.prices, files.calendar
 
 
 def sales_by_day(sales: DataFrame, prices: DataFrame, calendar: DataFrame) -> DataFrame:
-    """(store_id, dept_id, day, date, sales). A cell without a price or a
-    calendar row counts for nothing."""
+    """(store_id, dept_id, day, calendar attributes, sales). A cell without a
+    price or a calendar row counts for nothing."""
     cells = melt(sales, ["id"], day_columns(sales), "variable", "quantity").withColumnRenamed("id", "series")
-    dated = inner_join_on(cells, calendar, [("variable", "d")]).withColumn("day", day_index("variable"))
+    weeks = calendar.select("d", "wm_yr_wk")
+    dated = inner_join_on(cells, weeks, [("variable", "d")]).withColumn("day", day_index("variable"))
     series = prices.select(series_key("item_id", "store_id", suffix="evaluation").alias("id"), "store_id", "item_id",
                            F.col("wm_yr_wk").alias("week"), "sell_price")
     priced = inner_join_on(dated, series, [("series", "id"), ("wm_yr_wk", "week")])
-    lines = priced.select("store_id", dept_key("item_id").alias("dept_id"), "day", "date",
+    lines = priced.select("store_id", dept_key("item_id").alias("dept_id"), "day",
                           revenue("quantity", "sell_price").alias("sales"))
-    return DailySum(inputCol="sales", outputCol="sales",
-                    groupCols=["store_id", "dept_id", "day", "date"]).transform(lines)
+    daily = DailySum(inputCol="sales", outputCol="sales", groupCols=[*SERIES, TIME]).transform(lines)
+    return with_calendar(daily, calendar.withColumn(TIME, day_index("d"))).select(
+        *SERIES, TIME, *[c for c in CALENDAR_COLUMNS if c != TIME], "sales")

@@ -6,10 +6,12 @@ over every file, which at terabyte scale is a whole job of its own.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 # ISO formats used on both sides of a CSV round trip (microsecond precision).
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -29,6 +31,63 @@ def read_csv(
     )
 
 
+#: Holds the text of a record that a reader could not take.
+REJECTED = "_rejected_record"
+
+
+def named_schema(header: Sequence[str], columns: Mapping[str, str], patterns: Mapping[str, str]) -> StructType:
+    """Schema of a file with this ``header``: the type of a column comes from
+    its name in ``columns`` or from the first pattern its name matches; other
+    columns stay text. A column that is missing or stands twice is an error."""
+    missing = [c for c in columns if c not in header]
+    if missing:
+        raise ValueError(f"columns {missing} are not in the header {list(header)[:20]}")
+    twice = sorted({c for c in header if list(header).count(c) > 1} if len(set(header)) < len(header) else ())
+    if twice:
+        raise ValueError(f"columns {twice} stand twice in the header")
+
+    def kind(name: str) -> str:
+        return columns.get(name) or next((t for p, t in patterns.items() if re.fullmatch(p, name)), "string")
+
+    return StructType([StructField(c, StructType.fromDDL(f"x {kind(c)}")[0].dataType) for c in header])
+
+
+def read_csv_by_name(spark: SparkSession, path: str, columns: Mapping[str, str],
+                     patterns: Mapping[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejected) of CSV files with a header.
+
+    Types are bound to names, wherever the columns stand: only the header line
+    is read to lay them out, nothing is inferred from the data, and a file of
+    the folder with another header fails (``enforceSchema`` off). ``rows``
+    holds the named columns, then those that match a pattern, in file order; columns nobody
+    named are neither converted nor returned. ``rejected(file, record)``
+    holds every record with a value that is not of its type or with too few or
+    too many values; such records are in ``rows`` in no part."""
+    patterns = patterns or {}
+    header = spark.read.option("header", True).csv(path).columns
+    schema = named_schema(header, columns, patterns)
+    wanted = [*columns, *[c for c in header if c not in columns and any(re.fullmatch(p, c) for p in patterns)]]
+    raw = (
+        spark.read.schema(StructType([*schema.fields, StructField(REJECTED, StringType())]))
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", REJECTED)
+        .option("columnPruning", False)  # else records of the wrong length pass
+        .option("timestampFormat", TIMESTAMP_FORMAT)
+        .option("dateFormat", DATE_FORMAT)
+        .csv(path)
+    )
+    # The hash condition always holds: it makes every scan convert all wanted
+    # columns, so that a record is judged alike whatever is selected later.
+    # The other one is written so that Spark does not push it into the parser.
+    checked = raw.where(F.hash(*[F.col(f"`{c}`") for c in wanted]) >= F.lit(-(1 << 31)))
+    size = F.coalesce(F.length(REJECTED), F.lit(-1))
+    rows = checked.where(size < 0).select(*[F.col(f"`{c}`") for c in wanted])
+    rejected = checked.where(size >= 0).select(F.input_file_name().alias("file"), F.col(REJECTED).alias("record"))
+    return rows, rejected
+
+
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> str:
     (
         df.write.mode(mode)
