@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.functions.columns import day_index, dept_key, revenue, series_key
+from tidecast.models.boosting import HistGBTRegressor, best_splits, bin_edges, histogram, split_gains, with_bins
 from tidecast.models.selection import join_pred_actual, on_common_rows, rmse_by_model, select_best_model
 from tidecast.models.series import FourierForecaster, TrendWeekdayForecaster
 from tidecast.models.trees import gbt, rmse_of, tune
@@ -255,6 +256,39 @@ def q_gbt_rmse(spark: SparkSession, sf: str) -> DataFrame:
                                  "max_depth int, max_iter int, n_train long, n_test long, rmse double")
 
 
+#: Inputs of the split report; zero discounts and taxes count as missing.
+SPLIT_INPUTS = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+
+
+def q_hist_gbt_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """First level of a boosted tree for the price of a line: of each input the
+    best cut, its gain and the side of missing values, and which is chosen."""
+    lines = read_table(spark, sf, "lineitem", [*SPLIT_INPUTS, "l_extendedprice"])
+    features = F.array(*[F.col(c).cast("double") for c in SPLIT_INPUTS])
+    lines = lines.select(features.alias("x"), (F.col("l_extendedprice") / 1000).alias("y"))
+    mean = lines.agg(F.avg("y")).first()[0]
+    edges = bin_edges(lines, F.col("x"), len(SPLIT_INPUTS), 32, 0.0, "uniform")
+    rows = with_bins(lines, F.col("x"), edges, 0.0, F.lit(0).alias("node"),
+                     (F.col("y") - F.lit(mean)).cast("double").alias("g"))
+    gains = split_gains(histogram(rows, len(edges)), reg_lambda=1.0)
+    best = fe.materialize(best_splits(gains, ["feature"]), "splits")
+    top = best_splits(best.withColumn("node", F.lit(0))).select("feature", F.lit(True).alias("chosen"))
+    names = F.array(*[F.lit(c) for c in SPLIT_INPUTS])
+    return best.join(top, "feature", "left").select(
+        F.get(names, F.col("feature")).alias("input"), "bin", "missing_left", F.round("gain", 2).alias("gain"),
+        F.coalesce("chosen", F.lit(False)).alias("chosen"))
+
+
+def q_hist_gbt_rmse(spark: SparkSession, sf: str) -> DataFrame:
+    """Boosting with a missing direction (zeros missing, as in the reference)
+    against Spark's trees: same rows, depth and number of trees."""
+    train, test = _split_features(spark, sf)
+    models = {"hist": HistGBTRegressor(maxDepth=2, maxIter=10, missing=0.0), "gbt": gbt(max_depth=2, max_iter=10)}
+    scored = [est.fit(train).transform(test).select(F.lit(name).alias("model"), fe.LABEL, "prediction")
+              for name, est in models.items()]
+    return rmse_by_model(reduce(DataFrame.unionByName, scored), fe.LABEL, "prediction")
+
+
 def q_tune_trials(spark: SparkSession, sf: str) -> DataFrame:
     train, test = _split_features(spark, sf)
     return tune(spark, train, test, parallelism=4).trials
@@ -382,6 +416,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "join_pred_actual": q_join_pred_actual,
     "rmse_by_model": q_rmse_by_model,
     "select_best_model": q_select_best_model,
+    "hist_gbt_splits": q_hist_gbt_splits,
+    "hist_gbt_rmse": q_hist_gbt_rmse,
     "gbt_rmse": q_gbt_rmse,
     "tune_trials": q_tune_trials,
     "forecast_fourier": q_forecast_fourier,

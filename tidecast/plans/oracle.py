@@ -193,6 +193,40 @@ _daily_cols = ("store_id, dept_id, day, d, wm_yr_wk, weekday, wday, month, year,
                "event_name_2, event_type_2, snap_CA, snap_TX, snap_WI, CAST(date AS VARCHAR) AS date, "
                "round(sales, 2) AS sales")
 
+def _split_report() -> str:
+    """First-level cuts: equal-width bins of the values that are not 0."""
+    inputs = "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS input, {i} AS feature, CAST({c} AS DOUBLE) AS x, l_extendedprice / 1000 AS y FROM lineitem"
+        for i, c in enumerate(cat.SPLIT_INPUTS))
+    return _with(
+        f"cell0 AS ({inputs})",
+        "mean AS (SELECT avg(l_extendedprice / 1000) AS m FROM lineitem)",
+        "ends AS (SELECT feature, min(x) AS lo, max(x) AS hi FROM cell0 WHERE x <> 0 GROUP BY feature)",
+        """edge AS (SELECT DISTINCT feature, e FROM (SELECT feature, lo, hi, lo + (hi - lo) * unnest(range(1, 32)) / 32 AS e FROM ends)
+  WHERE e < hi)""",
+        """edges AS (SELECT feature, list(e ORDER BY e) AS es FROM edge GROUP BY feature)""",
+        """cell AS (
+  SELECT c.feature, input, y - m AS g, CASE WHEN x = 0 THEN 0 ELSE 1 + len(list_filter(es, lambda e: e < x)) END AS bin
+  FROM cell0 c JOIN edges USING (feature), mean)""",
+        "hist AS (SELECT feature, input, bin, sum(g) AS g, count(*) AS n FROM cell GROUP BY ALL)",
+        """run AS (
+  SELECT *, sum(g) OVER w AS gt, sum(n) OVER w AS nt,
+         sum(CASE WHEN bin = 0 THEN g ELSE 0 END) OVER w AS gm, sum(CASE WHEN bin = 0 THEN n ELSE 0 END) OVER w AS nm,
+         sum(CASE WHEN bin = 0 THEN 0 ELSE g END) OVER (PARTITION BY feature ORDER BY bin) AS gl,
+         sum(CASE WHEN bin = 0 THEN 0 ELSE n END) OVER (PARTITION BY feature ORDER BY bin) AS nl
+  FROM hist WINDOW w AS (PARTITION BY feature))""",
+        """side AS (
+  SELECT feature, input, bin, true AS missing_left, gl + gm AS a, nl + nm AS k, gt, nt FROM run WHERE bin > 0
+  UNION ALL SELECT feature, input, bin, false, gl, nl, gt, nt FROM run WHERE bin > 0)""",
+        """gains AS (
+  SELECT *, a * a / (k + 1) + (gt - a) * (gt - a) / (nt - k + 1) - gt * gt / (nt + 1) AS gain
+  FROM side WHERE k >= 1 AND nt - k >= 1)""",
+        """best AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY gain DESC, bin, missing_left DESC) AS rn FROM gains)""",
+    ) + """SELECT input, CAST(bin AS INTEGER) AS bin, missing_left, round(gain, 2) AS gain,
+       row_number() OVER (ORDER BY gain DESC, feature) = 1 AS chosen
+FROM best WHERE rn = 1"""
+
+
 SQL: dict[str, str] = {
     "scan_csv": """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
        l_discount, l_tax, l_returnflag, l_linestatus, CAST(l_shipdate AS VARCHAR) AS l_shipdate
@@ -263,4 +297,5 @@ FROM (SELECT *, row_number() OVER (PARTITION BY store_id
         ORDER BY rmse, CASE family {_PRIORITY} ELSE 99 END, model) AS rn
       FROM scores WHERE rmse IS NOT NULL)
 WHERE rn = 1""",
+    "hist_gbt_splits": _split_report(),
 }
