@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.functions.metrics import rmse
+from tidecast.operators.joins import null_safe_join
 
 # Lower number wins an exact tie in error: the per-series seasonal family
 # is kept unless trees are strictly better.
@@ -21,8 +22,9 @@ FAMILY_PRIORITY = {"series": 0, "trees": 1, "baseline": 2}
 
 def join_pred_actual(actuals: DataFrame, predictions: DataFrame, keys: Sequence[str],
                      how: str = "left") -> DataFrame:
-    """Actual rows with their prediction (null where none was made)."""
-    return actuals.join(predictions, list(keys), how)
+    """Actual rows with their prediction (null where none was made). A null
+    key meets a null key, as in the sums that made the rows."""
+    return null_safe_join(actuals, predictions, list(keys), how)
 
 
 def on_common_rows(scored: DataFrame, keys: Sequence[str], models: Sequence[str], label_col: str,

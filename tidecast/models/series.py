@@ -197,7 +197,9 @@ class FourierForecaster(Estimator, _SeriesParams):
         self._setDefault(regParam=1.0)
         self._set(**self._input_kwargs)
 
-    def _fit(self, df: DataFrame) -> FourierModel:
+    def partials(self, df: DataFrame) -> tuple[DataFrame, float]:
+        """(keys, n, first, last, X'X, X'y) of stretches of the training rows,
+        to be added up by series, and the origin of the trend."""
         keys, t, y = self._keys(), self.getOrDefault(self.timeCol), self.getLabelCol()
         train = self._training_rows(df).select(*keys, F.col(t).cast("double").alias("_t"),
                                                F.col(y).cast("double").alias("_y"))
@@ -211,7 +213,12 @@ class FourierForecaster(Estimator, _SeriesParams):
             StructField("xty", ArrayType(DoubleType())),
         ])
         by_series = train.repartition(*keys, F.floor(F.col("_t") / STRETCH_DAYS)).sortWithinPartitions(*keys)
-        partials = by_series.mapInPandas(_partial_normal_equations(keys, origin), partial_schema)
+        return by_series.mapInPandas(_partial_normal_equations(keys, origin), partial_schema), origin
+
+    def _fit(self, df: DataFrame) -> FourierModel:
+        keys = self._keys()
+        partials, origin = self.partials(df)
+        key_fields = [f for f in partials.schema.fields if f.name in keys]
         out_schema = StructType(key_fields + [
             StructField("n", LongType()),
             StructField("coef", ArrayType(DoubleType())),

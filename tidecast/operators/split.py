@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidecast.operators.joins import null_safe_join
+from tidecast.session import materialize
 
 
 def time_rank_table(df: DataFrame, time_col: str, rank_col: str = "rank") -> DataFrame:
@@ -33,6 +35,33 @@ def time_rank_table(df: DataFrame, time_col: str, rank_col: str = "rank") -> Dat
     )
 
 
+def distributed_rank_table(df: DataFrame, time_col: str, rank_col: str = "rank",
+                           partitions: int | None = None) -> DataFrame:
+    """The same for a time axis that is itself large (timestamps): the counts
+    are dealt to range partitions and written, each partition is summed by
+    itself, and the rows before a partition are added from one number for each
+    partition. No task holds more than its range."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.groupBy(time_col).agg(F.count(F.lit(1)).alias("_n"))
+    ranged = materialize(counts.repartitionByRange(n, time_col).withColumn("_part", F.spark_partition_id()), "ranges")
+    sizes = {r["_part"]: r["n"] for r in ranged.groupBy("_part").agg(F.sum("_n").alias("n")).collect()}
+    before, total = [], 0
+    for part in range(max(sizes, default=-1) + 1):
+        before.append(total)
+        total += sizes.get(part, 0)
+    inside = Window.partitionBy("_part").orderBy(time_col).rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.get(F.array(*[F.lit(b).cast("long") for b in before or [0]]), F.col("_part"))
+    rank = (offset + F.coalesce(F.sum("_n").over(inside), F.lit(0))) / F.lit(max(total - 1, 1))
+    return ranged.select(time_col, rank.cast("double").alias(rank_col))
+
+
+def distributed_percent_rank(df: DataFrame, time_col: str, rank_col: str = "rank",
+                             partitions: int | None = None) -> DataFrame:
+    """:func:`time_percent_rank` by way of :func:`distributed_rank_table`."""
+    ranks = distributed_rank_table(df, time_col, rank_col, partitions)
+    return null_safe_join(df, ranks, [time_col], "inner")
+
+
 def time_percent_rank(df: DataFrame, time_col: str, rank_col: str = "rank") -> DataFrame:
     """``df`` plus ``percent_rank() OVER (ORDER BY time_col)``.
 

@@ -16,19 +16,24 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.functions.columns import day_index, dept_key, revenue, series_key
+from tidecast.functions.columns import day_index, day_number, dept_key, revenue, series_key
 from tidecast.models.boosting import HistGBTRegressor, best_splits, bin_edges, histogram, split_gains, with_bins
+from tidecast.models.rolling import backtest, backtest_rmse
 from tidecast.models.selection import join_pred_actual, on_common_rows, rmse_by_model, select_best_model
 from tidecast.models.series import FourierForecaster, TrendWeekdayForecaster
 from tidecast.models.trees import gbt, rmse_of, tune
+from tidecast.models.trials import TrialLog, halving
+from tidecast.operators.labels import label_table
 from tidecast.operators.joins import inner_join_on, left_join_using
 from tidecast.operators.reshape import melt
-from tidecast.operators.split import cutoff_side, time_percent_rank, time_split
+from tidecast.operators.split import cutoff_side, distributed_percent_rank, time_percent_rank, time_split
 from tidecast.operators.stages import ZeroReplacer, null_profile
 from tidecast.plans import features as fe
+from tidecast.plans.items import ITEM, item_forecasts
 from tidecast.plans.wide import sales_by_day, wide_tables
 from tidecast.session import scratch_path
 from tidecast.sources.files import read_csv, read_csv_by_name, read_parquet, write_csv, write_parquet
+from tidecast.sources.retail import DAY_ORIGIN, retail_lines
 from tidecast.sources.tables import read_table
 
 # Forecast origin for the per-series families (the reference passes a date
@@ -236,6 +241,82 @@ def q_select_best_model(spark: SparkSession, sf: str) -> DataFrame:
     return best.select("store_id", "model", "family", _r("rmse", 6))
 
 
+# Origins of the rolling evaluation, and days that items are forecast for.
+ORIGINS = ["1998-12-31", "1999-12-31", "2000-12-31"]
+HORIZON = 28
+
+
+def _backtest_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return backtest_rmse(backtest(_logged_once(spark, sf), fe.SERIES, fe.TIME, "date", fe.LABEL, ORIGINS))
+
+
+def q_backtest_rmse(spark: SparkSession, sf: str) -> DataFrame:
+    return _backtest_scores(spark, sf).select("fold", "model", _r("rmse", 6), "n")
+
+
+def q_trial_choice(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of the rolling evaluation kept as trials, with one that failed
+    in each fold; the choice of each fold is a query over the table."""
+    scores = _backtest_scores(spark, sf).select(
+        F.concat_ws("-", "fold", "model").alias("trial_key"), F.col("fold").cast("string").alias("data_key"),
+        F.col("model").alias("family"), F.create_map(F.lit("model"), "model").alias("params"), F.lit(0).alias("budget"),
+        F.col("rmse").alias("loss"), F.lit("ok").alias("status"))
+    failed = scores.groupBy("data_key").agg(F.lit(1)).select(
+        F.concat_ws("-", "data_key", F.lit("failed")).alias("trial_key"), "data_key", F.lit("failed").alias("family"),
+        F.create_map(F.lit("model"), F.lit("failed")).alias("params"), F.lit(0).alias("budget"),
+        F.lit(-1.0).alias("loss"), F.lit("fail").alias("status"))
+    trials = TrialLog(spark, scratch_path(spark, "trials"))
+    trials.append(scores.unionByName(failed))
+    return trials.best().select(F.col("data_key").cast("int").alias("fold"), F.col("family").alias("model"),
+                                _r("loss", 6))
+
+
+def _item_forecasts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    lines = retail_lines(spark, sf)
+    sales = fe.materialize(lines.groupBy(*ITEM, "day", "date").agg(F.sum("sales").alias("sales")), "item-sales")
+    last = spark.range(1).select(day_number(F.lit(FORECAST_CUTOFF), DAY_ORIGIN)).first()[0]
+    return item_forecasts(sales, last, HORIZON)
+
+
+def q_forecast_item(spark: SparkSession, sf: str) -> DataFrame:
+    """Every store and item, 28 days ahead, as fitted and as reconciled."""
+    items, _ = _item_forecasts(spark, sf)
+    return items.select(*ITEM, "day", _r("yhat", 3), _r("reconciled", 3))
+
+
+def q_forecast_reconciled(spark: SparkSession, sf: str) -> DataFrame:
+    """Departments as fitted and as reconciled, with the sum of their items."""
+    items, depts = _item_forecasts(spark, sf)
+    by = [*fe.SERIES, fe.TIME]
+    total = items.groupBy(*by).agg(F.sum("reconciled").alias("item_sum"), F.count(F.lit(1)).alias("n_items"))
+    return depts.join(total, by).select(*by, _r("yhat", 3), _r("reconciled", 3), _r("item_sum", 3), "n_items")
+
+
+def q_event_percent_rank(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact rank over nearly as many times as rows: no task sorts them all."""
+    events = read_table(spark, sf, "events", ["event_id", "ts"])
+    return distributed_percent_rank(events, "ts").select("event_id", _r("rank", 9))
+
+
+def q_label_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Index of every item by its number of lines, without the driver."""
+    return label_table(read_table(spark, sf, "lineitem", ["l_partkey"]), "l_partkey").select("label", "n", "index")
+
+
+def q_fourier_normal_equations(spark: SparkSession, sf: str) -> DataFrame:
+    """X'X (upper half) and X'y of every series' Fourier fit, entry by entry."""
+    est = FourierForecaster(groupCols=fe.SERIES, cutoff=FORECAST_CUTOFF)
+    partial, _ = est.partials(_logged_once(spark, sf))
+    size = F.size("xty")
+    rows = F.flatten(F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.transform(
+        F.sequence(i, size - 1), lambda j: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j")))))
+    right = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.struct(i.cast("int").alias("i"), F.lit(-1).alias("j")))
+    entries = F.arrays_zip(F.concat(rows, right).alias("at"), F.concat("xtx", "xty").alias("value"))
+    cells = partial.select(*fe.SERIES, F.explode(entries).alias("e"))
+    return cells.groupBy(*fe.SERIES, F.col("e.at.i").alias("i"), F.col("e.at.j").alias("j")) \
+        .agg((F.round(F.sum("e.value"), 4) + F.lit(0.0)).alias("value"))
+
+
 # ------------------------------------------------ models without a SQL oracle
 
 def _split_features(spark: SparkSession, sf: str):
@@ -290,8 +371,24 @@ def q_hist_gbt_rmse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_tune_trials(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = _split_features(spark, sf)
-    return tune(spark, train, test, parallelism=4).trials
+    """The whole grid, scored on the last part of the train rows."""
+    train, _ = _split_features(spark, sf)
+    early = F.col("_rank") <= F.lit(SPLIT_RATIO * SPLIT_RATIO)
+    return tune(spark, train.where(early), train.where(~early), parallelism=4).trials
+
+
+def q_halving_trials(spark: SparkSession, sf: str) -> DataFrame:
+    """The same grid by halving: both depths with ten trees, the better one
+    with a hundred; then once more, which finds every trial in the table."""
+    train, _ = _split_features(spark, sf)
+    early = F.col("_rank") <= F.lit(SPLIT_RATIO * SPLIT_RATIO)
+    trials = TrialLog(spark, scratch_path(spark, "halving"))
+    for _ in range(2):
+        found = halving(trials, "features", train.where(early), train.where(~early), {"maxDepth": [2, 5]}, [10, 100])
+    best = trials.best().select("trial_key", F.lit(True).alias("chosen"))
+    return found.join(best, "trial_key", "left").select(
+        "family", F.element_at("params", F.lit("maxDepth")).cast("int").alias("max_depth"), F.col("budget").alias("max_iter"),
+        "loss", "status", F.coalesce("chosen", F.lit(False)).alias("chosen"))
 
 
 def q_forecast_fourier(spark: SparkSession, sf: str) -> DataFrame:
@@ -327,7 +424,8 @@ def model_choice(spark: SparkSession, sf: str, grid: dict | None = None) -> Data
         parts.append(part(name, "series", "full", est.fit(train).transform(test), "yhat"))
     models = ["trees"][:len(parts) - 2] + ["fourier", "trend_weekday"]
     scored = on_common_rows(reduce(DataFrame.unionByName, parts), KEYS, models, fe.LABEL, "yhat")
-    scores = rmse_by_model(scored, fe.LABEL, "yhat", "model", by=["family", "horizon"])
+    # A few rows, read twice below: written, so that scoring runs once.
+    scores = fe.materialize(rmse_by_model(scored, fe.LABEL, "yhat", "model", by=["family", "horizon"]), "scores")
     best = select_best_model(scores).select("model", F.lit(True).alias("chosen"))
     return scores.join(best, "model", "left").select(
         "model", "family", "horizon", "rmse", "n", F.coalesce("chosen", F.lit(False)).alias("chosen"))
@@ -416,10 +514,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "join_pred_actual": q_join_pred_actual,
     "rmse_by_model": q_rmse_by_model,
     "select_best_model": q_select_best_model,
+    "backtest_rmse": q_backtest_rmse,
+    "trial_choice": q_trial_choice,
+    "forecast_item": q_forecast_item,
+    "forecast_reconciled": q_forecast_reconciled,
+    "event_percent_rank": q_event_percent_rank,
+    "label_index": q_label_index,
+    "fourier_normal_equations": q_fourier_normal_equations,
     "hist_gbt_splits": q_hist_gbt_splits,
     "hist_gbt_rmse": q_hist_gbt_rmse,
     "gbt_rmse": q_gbt_rmse,
     "tune_trials": q_tune_trials,
+    "halving_trials": q_halving_trials,
     "forecast_fourier": q_forecast_fourier,
     "model_choice": model_choice,
 }

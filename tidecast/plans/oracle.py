@@ -8,6 +8,8 @@ pieces it needs plus its final ``SELECT``.
 
 from __future__ import annotations
 
+import math
+
 from tidecast.models.selection import FAMILY_PRIORITY
 from tidecast.plans import catalog as cat
 from tidecast.plans import features as fe
@@ -193,6 +195,84 @@ _daily_cols = ("store_id, dept_id, day, d, wm_yr_wk, weekday, wday, month, year,
                "event_name_2, event_type_2, snap_CA, snap_TX, snap_WI, CAST(date AS VARCHAR) AS date, "
                "round(sales, 2) AS sales")
 
+_FOLDS = ", ".join(f"({i}, DATE '{d}')" for i, d in enumerate(cat.ORIGINS, 1))
+BACKTEST = [
+    f"origin(fold, cut) AS (VALUES {_FOLDS})",
+    """known AS (
+  SELECT store_id, dept_id, CAST(day AS DOUBLE) AS t, LogSales AS y, dayofweek(date) AS dow, date,
+         (SELECT count(*) FROM origin WHERE cut < date) AS fold
+  FROM logged WHERE LogSales IS NOT NULL)""",
+    "seen AS (SELECT k.store_id, k.dept_id, t, y, dow, o.fold FROM known k JOIN origin o ON k.date <= o.cut)",
+    """line AS (
+  SELECT store_id, dept_id, fold, avg(y) AS level, regr_slope(y, t) AS slope, regr_intercept(y, t) AS intercept
+  FROM seen GROUP BY ALL)""",
+    """week AS (
+  SELECT s.store_id, s.dept_id, s.fold, dow, avg(y - intercept - slope * t) AS effect
+  FROM seen s JOIN line l ON l.store_id = s.store_id AND l.dept_id = s.dept_id AND l.fold = s.fold GROUP BY ALL)""",
+    """told AS (
+  SELECT k.fold, y, level, intercept + slope * t AS trend, intercept + slope * t + coalesce(effect, 0) AS trend_weekday
+  FROM known k JOIN line l ON l.store_id = k.store_id AND l.dept_id = k.dept_id AND l.fold = k.fold
+  LEFT JOIN week w ON w.store_id = k.store_id AND w.dept_id = k.dept_id AND w.fold = k.fold AND w.dow = k.dow)""",
+    "backtest AS (" + " UNION ALL ".join(
+        f"SELECT CAST(fold AS INTEGER) AS fold, '{m}' AS model, sqrt(avg((y - {m}) ^ 2)) AS rmse, count(*) AS n "
+        f"FROM told WHERE {m} IS NOT NULL GROUP BY fold" for m in ("level", "trend", "trend_weekday")) + ")",
+]
+
+# Items and departments over the full axis of days, zeros where nothing sold.
+ITEMS = [
+    LINES.replace("lines AS (", "lines AS (", 1).replace("p.p_type AS dept_id,", "p.p_type AS dept_id, p.p_partkey AS item_id,"),
+    f"cut AS (SELECT date_diff('day', DATE '{DAY_ORIGIN}', {CUT}) + 1 AS day)",
+    "train AS (SELECT lines.* FROM lines, cut WHERE lines.day <= cut.day)",
+    "axis AS (SELECT unnest(range((SELECT min(day) FROM train), (SELECT day + 1 FROM cut))) AS day)",
+    f"ahead AS (SELECT unnest(range(day + 1, day + {cat.HORIZON + 1})) AS day FROM cut)",
+    "consts AS (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(sum(day) AS DOUBLE) AS st, CAST(sum(day * day) AS DOUBLE) AS stt FROM axis)",
+    "sale AS (SELECT store_id, dept_id, item_id, day, sum(sales) AS y FROM train GROUP BY ALL)",
+    """isum AS (SELECT store_id, dept_id, item_id, sum(y) AS sy, sum(day * y) AS sty, sum(y * y) AS syy FROM sale GROUP BY ALL)""",
+    """iline AS (
+  SELECT store_id, dept_id, item_id, sy, sty, syy, n, st, (n * sty - st * sy) / (n * stt - st * st) AS slope FROM isum, consts)""",
+    """item AS (
+  SELECT store_id, dept_id, item_id, ahead.day, (sy - slope * st) / n + slope * ahead.day AS yhat,
+         greatest((syy - (sy - slope * st) / n * sy - slope * sty) / n, 0) AS w
+  FROM iline, ahead)""",
+    "dsale AS (SELECT store_id, dept_id, day, sum(y) AS y FROM sale GROUP BY ALL)",
+    """dsum AS (SELECT store_id, dept_id, sum(y) AS sy, sum(day * y) AS sty, sum(y * y) AS syy FROM dsale GROUP BY ALL)""",
+    """dline AS (
+  SELECT store_id, dept_id, slope, (sy - slope * st) / n AS intercept, (syy - (sy - slope * st) / n * sy - slope * sty) / n AS sse
+  FROM (SELECT *, (n * sty - st * sy) / (n * stt - st * st) AS slope FROM dsum, consts))""",
+    """residual AS (
+  SELECT d.store_id, d.dept_id, a.day % 7 AS dow, avg(coalesce(y, 0) - intercept - slope * a.day) AS effect, count(*) AS k
+  FROM dline d JOIN axis a ON true
+  LEFT JOIN dsale s ON s.store_id = d.store_id AND s.dept_id = d.dept_id AND s.day = a.day GROUP BY ALL)""",
+    """dweight AS (
+  SELECT r.store_id, r.dept_id, greatest(greatest(any_value(sse), 0) - sum(k * effect * effect) / any_value(n), 0) AS w0
+  FROM residual r JOIN dline d ON d.store_id = r.store_id AND d.dept_id = r.dept_id, consts GROUP BY ALL)""",
+    """dept AS (
+  SELECT d.store_id, d.dept_id, ahead.day, intercept + slope * ahead.day + coalesce(effect, 0) AS yhat, w0
+  FROM dline d JOIN ahead ON true JOIN dweight w ON w.store_id = d.store_id AND w.dept_id = d.dept_id
+  LEFT JOIN residual r ON r.store_id = d.store_id AND r.dept_id = d.dept_id AND r.dow = ahead.day % 7)""",
+    """whole AS (
+  SELECT store_id, dept_id, day, sum(yhat) AS total, sum(w) AS tw, count(*) AS n_items FROM item GROUP BY ALL)""",
+    """gap AS (
+  SELECT d.store_id, d.dept_id, d.day, d.yhat, d.yhat - total AS e, w0, w0 + tw AS aw, n_items
+  FROM dept d JOIN whole w ON w.store_id = d.store_id AND w.dept_id = d.dept_id AND w.day = d.day)""",
+    """settled AS (
+  SELECT i.store_id, i.dept_id, i.item_id, i.day, i.yhat,
+         i.yhat + CASE WHEN aw > 0 THEN w / aw ELSE 1 / n_items END * e AS reconciled
+  FROM item i JOIN gap g ON g.store_id = i.store_id AND g.dept_id = i.dept_id AND g.day = i.day)""",
+]
+
+# The terms of the Fourier fit, in order.
+_TERMS = ["1.0", "(t - o) / 365.25"] + [
+    f"{f}(t * {2.0 * math.pi * k / period!r})" for period, order in ((365.25, 10), (7.0, 3))
+    for k in range(1, order + 1) for f in ("sin", "cos")]
+NORMAL = [
+    f"fit AS (SELECT store_id, dept_id, CAST(day AS DOUBLE) AS t, LogSales AS y FROM logged WHERE date <= {CUT} AND LogSales IS NOT NULL)",
+    f"""terms AS (
+  SELECT store_id, dept_id, y, [{", ".join(_TERMS)}] AS x FROM fit, (SELECT max(t) AS o FROM fit))""",
+    f"places AS (SELECT i, j FROM (SELECT unnest(range({len(_TERMS)})) AS i), (SELECT unnest(range({len(_TERMS)})) AS j) WHERE i <= j)",
+]
+
+
 def _split_report() -> str:
     """First-level cuts: equal-width bins of the values that are not 0."""
     inputs = "\nUNION ALL\n".join(
@@ -298,4 +378,21 @@ FROM (SELECT *, row_number() OVER (PARTITION BY store_id
       FROM scores WHERE rmse IS NOT NULL)
 WHERE rn = 1""",
     "hist_gbt_splits": _split_report(),
+    "backtest_rmse": _with(*LOG_BASE, *BACKTEST) + "SELECT fold, model, round(rmse, 6) AS rmse, n FROM backtest",
+    "trial_choice": _with(*LOG_BASE, *BACKTEST) + """SELECT fold, model, round(rmse, 6) AS loss
+FROM (SELECT *, row_number() OVER (PARTITION BY fold ORDER BY rmse, model) AS rn FROM backtest) WHERE rn = 1""",
+    "forecast_item": _with(*ITEMS) + """SELECT store_id, dept_id, item_id, CAST(day AS INTEGER) AS day,
+       round(yhat, 3) AS yhat, round(reconciled, 3) AS reconciled FROM settled""",
+    "forecast_reconciled": _with(*ITEMS) + """SELECT g.store_id, g.dept_id, CAST(g.day AS INTEGER) AS day, round(any_value(g.yhat), 3) AS yhat,
+       round(any_value(g.yhat - CASE WHEN aw > 0 THEN w0 / aw ELSE 0 END * e), 3) AS reconciled,
+       round(sum(reconciled), 3) AS item_sum, any_value(n_items) AS n_items
+FROM gap g JOIN settled s ON s.store_id = g.store_id AND s.dept_id = g.dept_id AND s.day = g.day GROUP BY ALL""",
+    "event_percent_rank": "SELECT event_id, round(percent_rank() OVER (ORDER BY ts), 9) AS rank FROM events",
+    "label_index": """SELECT label, n, CAST(row_number() OVER (ORDER BY n DESC, label) - 1 AS DOUBLE) AS index
+FROM (SELECT CAST(l_partkey AS VARCHAR) AS label, count(*) AS n FROM lineitem GROUP BY 1)""",
+    "fourier_normal_equations": _with(*LOG_BASE, *NORMAL) + """SELECT store_id, dept_id, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j,
+       round(sum(x[i + 1] * x[j + 1]), 4) + 0.0 AS value FROM terms, places GROUP BY ALL
+UNION ALL
+SELECT store_id, dept_id, CAST(i AS INTEGER), -1, round(sum(x[i + 1] * y), 4) + 0.0
+FROM terms, places WHERE j = i GROUP BY ALL""",
 }
