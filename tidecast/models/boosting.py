@@ -117,8 +117,9 @@ def histogram(rows: DataFrame, n_features: int) -> DataFrame:
 
 
 def split_gains(sums: DataFrame, reg_lambda: float, min_rows: int = 1) -> DataFrame:
-    """(node, feature, bin, missing_left, gain) of every cut that leaves
-    ``min_rows`` on both sides: bins up to ``bin`` go left."""
+    """(node, feature, bin, missing_left, gain, left, right) of every cut that
+    leaves ``min_rows`` on both sides: bins up to ``bin`` go left; ``left`` and
+    ``right`` hold the sums (g, n) of the two sides."""
     whole = Window.partitionBy("node", "feature")
     upto = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     is_missing = F.col("bin") == 0
@@ -140,16 +141,17 @@ def split_gains(sums: DataFrame, reg_lambda: float, min_rows: int = 1) -> DataFr
 
     g, n = F.col("left.g"), F.col("left.n")
     gain = score(g, n) + score(F.col("G") - g, F.col("N") - n) - score(F.col("G"), F.col("N"))
-    return cuts.select("node", "feature", "bin", F.col("left.missing_left").alias("missing_left"), gain.alias("gain"))
+    return cuts.select("node", "feature", "bin", F.col("left.missing_left").alias("missing_left"), gain.alias("gain"),
+                       F.struct(g.alias("g"), n.alias("n")).alias("left"),
+                       F.struct((F.col("G") - g).alias("g"), (F.col("N") - n).alias("n")).alias("right"))
 
 
 def best_splits(gains: DataFrame, by: Sequence[str] = ("node",)) -> DataFrame:
     """The cut with the greatest gain (ties: lower feature, lower bin, missing
     values to the left) of each ``by`` group."""
-    order = F.struct((-F.col("gain")).alias("loss"), "feature", "bin", (~F.col("missing_left")).alias("right"))
-    best = gains.groupBy(*by).agg(F.min(order).alias("b"))
-    return best.select(*[c for c in by if c != "feature"], F.col("b.feature").alias("feature"),
-                       F.col("b.bin").alias("bin"), (~F.col("b.right")).alias("missing_left"), (-F.col("b.loss")).alias("gain"))
+    order = F.struct(-F.col("gain"), "feature", "bin", ~F.col("missing_left"))
+    rest = [c for c in gains.columns if c not in by]
+    return gains.groupBy(*by).agg(F.min_by(F.struct(*rest), order).alias("b")).select(*by, "b.*")
 
 
 def _tree_column(nodes: list[Node], leaf, left_of, at: int = 0) -> Column:
@@ -203,32 +205,30 @@ class HistGBTRegressor(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol)
         return model
 
     def _grow(self, rows: DataFrame, edges: list[list[float]]) -> list[Node]:
+        """One tree, a job for each level: the chosen cuts bring the sums of
+        both their sides, which are the values of the nodes below."""
         reg, step = self.getOrDefault(self.regLambda), self.getOrDefault(self.stepSize)
         nodes, last = [Node(0.0)], [0]
-        for depth in range(self.getOrDefault(self.maxDepth) + 1):
+        for depth in range(self.getOrDefault(self.maxDepth)):
             here = _tree_column(nodes, lambda at, node: F.lit(at), _left_of_bins)
             placed = rows.select(here.alias("node"), "bins", (F.col("y") - F.col("margin")).alias("g"))
             placed = placed.where(F.col("node").isin(last)) if depth else placed
-            if depth == self.getOrDefault(self.maxDepth):  # leaves only
-                for r in placed.groupBy("node").agg(F.sum("g").alias("g"), F.count(F.lit(1)).alias("n")).collect():
-                    nodes[r["node"]].value = step * r["g"] / (r["n"] + reg)
-                break
-            sums = histogram(placed, len(edges))
-            # Of every feature the bins of a node sum to the node.
-            totals = sums.where("feature = 0").groupBy("node").agg(F.sum("g").alias("g"), F.sum("n").alias("n"))
-            best = totals.join(best_splits(split_gains(sums, reg)), "node", "left").collect()
-            grown = []
+            best = best_splits(split_gains(histogram(placed, len(edges)), reg)).collect()
+            if depth == 0:  # no cut may be possible at all
+                g, n = (sum(x[k] for x in (best[0]["left"], best[0]["right"])) for k in ("g", "n")) if best else \
+                    placed.agg(F.sum("g"), F.count(F.lit(1))).first()
+                nodes[0].value = step * g / (n + reg)
+            last = []
             for r in sorted(best, key=lambda r: r["node"]):
+                if r["gain"] <= 1e-12:
+                    continue
+                own = edges[r["feature"]]
+                threshold = own[r["bin"] - 1] if r["bin"] <= len(own) else math.inf
                 node = nodes[r["node"]]
-                node.value = step * r["g"] / (r["n"] + reg)
-                if r["gain"] is not None and r["gain"] > 1e-12:
-                    own = edges[r["feature"]]
-                    threshold = own[r["bin"] - 1] if r["bin"] <= len(own) else math.inf
-                    node.split = Split(r["feature"], r["bin"], threshold, r["missing_left"], r["gain"])
-                    node.left, node.right = len(nodes), len(nodes) + 1
-                    nodes += [Node(0.0), Node(0.0)]
-                    grown += [node.left, node.right]
-            last = grown
+                node.split = Split(r["feature"], r["bin"], threshold, r["missing_left"], r["gain"])
+                node.left, node.right = len(nodes), len(nodes) + 1
+                last += [node.left, node.right]
+                nodes += [Node(step * x["g"] / (x["n"] + reg)) for x in (r["left"], r["right"])]
             if not last:
                 break
         return nodes

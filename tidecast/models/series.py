@@ -21,7 +21,6 @@ a series key is a key like any other.
 
 from __future__ import annotations
 
-import json
 import math
 
 import numpy as np
@@ -29,6 +28,7 @@ import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol, Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
@@ -90,21 +90,64 @@ class TrendWeekdayForecaster(Estimator, _SeriesParams):
         return self._copyValues(model)
 
 
-def _save_params(model, path: str, extra: dict) -> None:
-    spark = SparkSession.active()
-    params = {p.name: model.getOrDefault(p) for p in model.params if model.hasDefault(p) or model.isSet(p)}
-    params.update(extra)
-    spark.createDataFrame([(json.dumps(params),)], "params string").write.mode("overwrite").json(
-        f"{path}/params")
+class _TablesWriter(MLWriter):
+    """Params as metadata, each table of the model as Parquet beside them."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession, extraMetadata=self.model._extra())
+        for name, table in self.model._tables().items():
+            table.write.parquet(f"{path}/{name}")
+
+
+class _TablesReader(MLReader):
+    def __init__(self, cls):
+        super().__init__()
+        self.cls = cls
+
+    def load(self, path: str):
+        spark = SparkSession.active()
+        meta = DefaultParamsReader.loadMetadata(path, spark)
+        model = self.cls(*[spark.read.parquet(f"{path}/{name}") for name in self.cls.TABLES],
+                         *[meta[name] for name in self.cls.EXTRA])
+        DefaultParamsReader.getAndSetParams(model, meta)
+        return model
 
 
-def _load_params(spark: SparkSession, path: str) -> dict:
-    return json.loads(spark.read.json(f"{path}/params").first()["params"])
+class _TableModel(Model, _SeriesParams, MLWritable, MLReadable):
+    """A model that holds tables: saves and loads alone and in pipelines, and
+    overwrites nothing unless asked (``write().overwrite()``)."""
 
+    TABLES: tuple[str, ...] = ()
+    EXTRA: tuple[str, ...] = ()
 
-class TrendWeekdayModel(Model, _SeriesParams):
+    def _tables(self) -> dict[str, DataFrame]:
+        return {name: getattr(self, name) for name in self.TABLES}
+
+    def _extra(self) -> dict:
+        return {name: getattr(self, name) for name in self.EXTRA}
+
+    def write(self) -> MLWriter:
+        return _TablesWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _TablesReader(cls)
+
+    @classmethod
+    def load(cls, *at):
+        """``load(path)``; a session may stand before the path."""
+        return cls.read().load(at[-1])
+
+
+class TrendWeekdayModel(_TableModel):
     """Coefficient tables: (series, slope, intercept) and (series, weekday,
-    effect). ``save``/``load`` write them as Parquet next to the params."""
+    effect)."""
+
+    TABLES = ("trend", "weekday")
 
     def __init__(self, trend: DataFrame | None = None, weekday: DataFrame | None = None):
         super().__init__()
@@ -112,18 +155,6 @@ class TrendWeekdayModel(Model, _SeriesParams):
         self.trend = trend
         self.weekday = weekday
 
-    def save(self, path: str) -> None:
-        self.trend.write.mode("overwrite").parquet(f"{path}/trend")
-        self.weekday.write.mode("overwrite").parquet(f"{path}/weekday")
-        _save_params(self, path, {})
-
-    @classmethod
-    def load(cls, spark: SparkSession, path: str) -> TrendWeekdayModel:
-        params = _load_params(spark, path)
-        model = cls(spark.read.parquet(f"{path}/trend"), spark.read.parquet(f"{path}/weekday"))
-        model._set(**{k: v for k, v in params.items() if model.hasParam(k)})
-        return model
-
     def _transform(self, df: DataFrame) -> DataFrame:
         keys, t = self._keys(), self.getOrDefault(self.timeCol)
         dow = F.dayofweek(self.getOrDefault(self.dateCol)).cast("int")
@@ -284,26 +315,17 @@ def _ridge_solver(keys: list[str], reg: float):
     return solve
 
 
-class FourierModel(Model, _SeriesParams):
+class FourierModel(_TableModel):
     """Coefficient table (series, n, coef array) plus the trend origin."""
 
+    TABLES, EXTRA = ("coefficients",), ("origin_day",)
+
     def __init__(self, coefficients: DataFrame | None = None, origin_day: float = 0.0):
         super().__init__()
         self._series_defaults()
         self.coefficients = coefficients
         self.origin_day = origin_day
 
-    def save(self, path: str) -> None:
-        self.coefficients.write.mode("overwrite").parquet(f"{path}/coefficients")
-        _save_params(self, path, {"origin_day": self.origin_day})
-
-    @classmethod
-    def load(cls, spark: SparkSession, path: str) -> FourierModel:
-        params = _load_params(spark, path)
-        model = cls(spark.read.parquet(f"{path}/coefficients"), float(params.pop("origin_day")))
-        model._set(**{k: v for k, v in params.items() if model.hasParam(k)})
-        return model
-
     def _transform(self, df: DataFrame) -> DataFrame:
         keys, t = self._keys(), self.getOrDefault(self.timeCol)
         # An explicit sum of coef[i] * basis_i stays inside codegen (array

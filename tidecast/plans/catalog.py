@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tidecast.functions.columns import day_index, day_number, dept_key, revenue, series_key
 from tidecast.models.boosting import HistGBTRegressor, best_splits, bin_edges, histogram, split_gains, with_bins
+from tidecast.models.changepoints import ChangePointForecaster
 from tidecast.models.rolling import backtest, backtest_rmse
 from tidecast.models.selection import join_pred_actual, on_common_rows, rmse_by_model, select_best_model
 from tidecast.models.series import FourierForecaster, TrendWeekdayForecaster
@@ -281,7 +282,7 @@ def _item_forecasts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]
 def q_forecast_item(spark: SparkSession, sf: str) -> DataFrame:
     """Every store and item, 28 days ahead, as fitted and as reconciled."""
     items, _ = _item_forecasts(spark, sf)
-    return items.select(*ITEM, "day", _r("yhat", 3), _r("reconciled", 3))
+    return items.select(*ITEM, "day", _r("yhat", 1), _r("reconciled", 1))
 
 
 def q_forecast_reconciled(spark: SparkSession, sf: str) -> DataFrame:
@@ -289,7 +290,7 @@ def q_forecast_reconciled(spark: SparkSession, sf: str) -> DataFrame:
     items, depts = _item_forecasts(spark, sf)
     by = [*fe.SERIES, fe.TIME]
     total = items.groupBy(*by).agg(F.sum("reconciled").alias("item_sum"), F.count(F.lit(1)).alias("n_items"))
-    return depts.join(total, by).select(*by, _r("yhat", 3), _r("reconciled", 3), _r("item_sum", 3), "n_items")
+    return depts.join(total, by).select(*by, _r("yhat", 2), _r("reconciled", 2), _r("item_sum", 2), "n_items")
 
 
 def q_event_percent_rank(spark: SparkSession, sf: str) -> DataFrame:
@@ -323,7 +324,11 @@ def _split_features(spark: SparkSession, sf: str):
     """Assembled features with their time rank, fitted on the train rows and
     written once; train and test are then plain filters over the written
     table. ``_rank`` stays on the train rows, to split off a validation part."""
-    ranked = fe.materialize(fe.build_features(spark, sf, train_ratio=SPLIT_RATIO).assembled, "features")
+    return _parts(fe.build_features(spark, sf, train_ratio=SPLIT_RATIO))
+
+
+def _parts(features: fe.FeatureSet) -> tuple[DataFrame, DataFrame]:
+    ranked = fe.materialize(features.assembled, "features")
     train = ranked.where(F.col("_rank") <= F.lit(SPLIT_RATIO))
     test = ranked.where(F.col("_rank") > F.lit(SPLIT_RATIO)).drop("_rank")
     return train, test
@@ -353,7 +358,7 @@ def q_hist_gbt_splits(spark: SparkSession, sf: str) -> DataFrame:
                      (F.col("y") - F.lit(mean)).cast("double").alias("g"))
     gains = split_gains(histogram(rows, len(edges)), reg_lambda=1.0)
     best = fe.materialize(best_splits(gains, ["feature"]), "splits")
-    top = best_splits(best.withColumn("node", F.lit(0))).select("feature", F.lit(True).alias("chosen"))
+    top = best_splits(best.withColumn("node", F.lit(0)), ["node"]).select("feature", F.lit(True).alias("chosen"))
     names = F.array(*[F.lit(c) for c in SPLIT_INPUTS])
     return best.join(top, "feature", "left").select(
         F.get(names, F.col("feature")).alias("input"), "bin", "missing_left", F.round("gain", 2).alias("gain"),
@@ -398,6 +403,14 @@ def q_forecast_fourier(spark: SparkSession, sf: str) -> DataFrame:
     return model.transform(future).select(*KEYS, _date_str("date"), fe.LABEL, "yhat")
 
 
+def q_forecast_changepoint(spark: SparkSession, sf: str) -> DataFrame:
+    """The Fourier forecast with a trend that may bend."""
+    logged = _logged_once(spark, sf)
+    model = ChangePointForecaster(groupCols=fe.SERIES, cutoff=FORECAST_CUTOFF).fit(logged)
+    future = logged.where(F.col("date") > F.lit(FORECAST_CUTOFF).cast("date"))
+    return model.transform(future).select(*KEYS, _date_str("date"), fe.LABEL, "yhat")
+
+
 def model_choice(spark: SparkSession, sf: str, grid: dict | None = None) -> DataFrame:
     """The end-to-end run: features -> chronological split -> tuned trees,
     Fourier and trend+weekday forecasts scored on the same test rows at the
@@ -407,7 +420,16 @@ def model_choice(spark: SparkSession, sf: str, grid: dict | None = None) -> Data
     on all of them. ``horizon`` says what a model knows: trees see the true
     values of the days before (one step), the series families none after the
     train rows (full). No tree model is scored if every trial failed."""
-    train, test = _split_features(spark, sf)
+    return _choose(spark, *_split_features(spark, sf), grid)
+
+
+def q_wide_model_choice(spark: SparkSession, sf: str) -> DataFrame:
+    """The same run from files: wide sales, prices and calendar as CSV ->
+    features -> tuned trees and forecasts -> the chosen model."""
+    return _choose(spark, *_parts(fe.feature_set(_wide_daily(spark, sf), SPLIT_RATIO)), {"maxDepth": [2, 5], "maxIter": [10]})
+
+
+def _choose(spark: SparkSession, train: DataFrame, test: DataFrame, grid: dict | None) -> DataFrame:
     early = F.col("_rank") <= F.lit(SPLIT_RATIO * SPLIT_RATIO)
     result = tune(spark, train.where(early), train.where(~early), grid=grid, parallelism=4)
 
@@ -527,5 +549,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tune_trials": q_tune_trials,
     "halving_trials": q_halving_trials,
     "forecast_fourier": q_forecast_fourier,
+    "forecast_changepoint": q_forecast_changepoint,
     "model_choice": model_choice,
+    "wide_model_choice": q_wide_model_choice,
 }
