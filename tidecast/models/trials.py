@@ -11,7 +11,7 @@ validation part, never from the test rows.
 
 Defined results: a NaN or missing loss is a failed trial; equal losses go to
 the smaller budget, then the smaller key; a table without an ``ok`` trial has no
-choice; concurrent appends do no harm, as a key finished twice counts once.
+choice; concurrent appends do no harm, and a key finished twice counts once.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ import itertools
 import json
 import logging
 import math
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -53,7 +54,7 @@ class TrialLog:
     def rows(self) -> DataFrame:
         """One row for each key: a finished one if there is any."""
         try:
-            found = self.spark.read.schema(SCHEMA).parquet(f"{self.path}/trials")
+            found = self.spark.read.schema(SCHEMA).option("recursiveFileLookup", True).parquet(f"{self.path}/trials")
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -70,7 +71,9 @@ class TrialLog:
 
     def append(self, rows: DataFrame | Sequence[tuple]) -> None:
         table = rows if isinstance(rows, DataFrame) else self.spark.createDataFrame(rows, SCHEMA)
-        table.write.mode("append").parquet(f"{self.path}/trials")
+        # A folder for each append: jobs that end at the same time do not
+        # clear each other's unfinished files away.
+        table.write.parquet(f"{self.path}/trials/{uuid.uuid4().hex}")
 
     def best(self, by: Sequence[str] = ("data_key",)) -> DataFrame:
         """The chosen trial of each group."""
