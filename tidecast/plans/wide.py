@@ -74,19 +74,24 @@ def write_retail(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     first, last = sold.agg(F.min("day"), F.max("day")).first()
     days = [f"d_{i}" for i in range(first, last + 1)] if first is not None else ["d_1"]
 
-    label = F.concat(F.lit("d_"), F.col("day").cast("string"))
-    wide = sold.withColumn("d", label).groupBy("store_id", "item_id").pivot("d", days).agg(F.sum("quantity")) \
-        .na.fill(0.0).withColumns({"id": series_key("item_id", "store_id", suffix="evaluation"),
-                                   "dept_id": dept_key("item_id"), "cat_id": F.split_part("item_id", F.lit("_"), F.lit(1)),
-                                   "state_id": F.left("store_id", F.lit(2))})
+    # A line of the wide file is put together from one map of a series' days: a
+    # pivot would plan an expression for each of the thousands of columns.
+    series = sold.groupBy("store_id", "item_id", "day").agg(F.sum("quantity").alias("quantity")) \
+        .groupBy("store_id", "item_id").agg(F.map_from_entries(F.collect_list(F.struct("day", "quantity"))).alias("_days"))
+    axis = F.sequence(F.lit(first or 1), F.lit(last or 1))
+    units = F.transform(axis, lambda d: F.coalesce(F.try_element_at("_days", d), F.lit(0.0)).cast("string"))
+    leading = [series_key("item_id", "store_id", suffix="evaluation"), F.col("item_id"), dept_key("item_id"),
+               F.split_part("item_id", F.lit("_"), F.lit(1)), F.col("store_id"), F.left("store_id", F.lit(2))]
+    wide = series.select(F.concat_ws(",", *leading, F.array_join(units, ",")).alias(",".join([*SALES, *days])))
     week = (F.floor(F.col("day") / 7) + 1).cast("int")
     prices = sold.select("store_id", "item_id", week.alias("wm_yr_wk"),
                          (F.col("p_retailprice") + week % 3).alias("sell_price")).distinct()
     calendar = calendar_for_days(sold.select("day")) if first is not None else calendar_for_days(
         spark.range(1).select(F.lit(1).alias("day")))
-    paths = {}
-    for name, table, columns in (("sales", wide, [*SALES, *days]), ("prices", prices, PRICES),
-                                 ("calendar", calendar, CALENDAR)):
+    # One column named like the whole header; no value holds the separator.
+    paths = {"sales": scratch_path(spark, "sales")}
+    wide.write.option("header", True).option("sep", "\x01").csv(paths["sales"])
+    for name, table, columns in (("prices", prices, PRICES), ("calendar", calendar, CALENDAR)):
         paths[name] = write_csv(table.select(*columns), scratch_path(spark, name))
     return paths
 

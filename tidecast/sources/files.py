@@ -49,7 +49,9 @@ def named_schema(header: Sequence[str], columns: Mapping[str, str], patterns: Ma
     def kind(name: str) -> str:
         return columns.get(name) or next((t for p, t in patterns.items() if re.fullmatch(p, name)), "string")
 
-    return StructType([StructField(c, StructType.fromDDL(f"x {kind(c)}")[0].dataType) for c in header])
+    kinds = {c: kind(c) for c in header}
+    types = {k: StructType.fromDDL(f"x {k}")[0].dataType for k in set(kinds.values())}
+    return StructType([StructField(c, types[kinds[c]]) for c in header])
 
 
 def read_csv_by_name(spark: SparkSession, path: str, columns: Mapping[str, str],
