@@ -7,13 +7,14 @@ when the block stands at its end. A shift of zero selects the bucket of
 patterns with that last block; their words are then compared directly.
 
 The benchmark is a stated query set. It is read in parts of at most
-``part_words`` words, each broadcast on its own and applied to all documents
-one after another in the same stage, so what a task holds at once is bounded
-however large the benchmark is.
+``part_words`` words, one at a time: each is broadcast and applied to all
+documents, and what it found is written before the next one is read, so what
+the driver and a task hold is bounded however large the benchmark is.
 
 Defined results: a null or empty text has no words, no hits and is clean; an
-item without words is never found; items with a null id are left out; an id
-that stands on several rows counts once.
+item without words is never found; the words of an item with a null id are hit
+like any others, but it is not among the items found; an id that stands on
+several rows counts once.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import alnum_words
+from tidecast.llm.common import alnum_words, written
 
 WINDOW = 13
 PART_WORDS = 1_000_000
@@ -83,7 +84,7 @@ class Matcher:
             size = min(window, len(ids))
             for k in range(len(ids) - size + 1):
                 owners = by_length.setdefault(size, {}).setdefault(tuple(ids[k:k + size]), [])
-                if item not in owners:
+                if item is not None and item not in owners:
                     owners.append(item)
         base = len(self.number) + 1
         self.tables = [WuManber(size, found, base) for size, found in sorted(by_length.items())]
@@ -141,7 +142,7 @@ def benchmark_parts(benchmark: DataFrame, part_words: int = PART_WORDS) -> Itera
     part: list[tuple[str, str]] = []
     size = 0
     rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text") \
-        .where("item_id is not null and text is not null")
+        .where("text is not null")
     for row in rows.toLocalIterator():
         n = len(alnum_words(row["text"]))
         if part and size + n > part_words:
@@ -160,9 +161,15 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, out: str = "found", wi
     sc = docs.sparkSession.sparkContext
     nothing = F.from_json(F.lit('{"spans":[],"items":[]}'), HITS)
     docs = docs.withColumn(out, nothing)
-    for part in [*benchmark_parts(benchmark, part_words)] or [[]]:
+    parts = benchmark_parts(benchmark, part_words)
+    part = next(parts, [])
+    while True:
         docs = docs.withColumn(out, _scanner(sc.broadcast(part), window)(F.col("text"), F.col(out)))
-    return docs
+        part = next(parts, None)
+        if part is None:
+            return docs
+        # One part at a time: what it found is written before the next is sent.
+        docs = written(docs, "scanned")
 
 
 def contaminated(found: str = "found", num: int = 1, den: int = 20) -> Column:

@@ -163,7 +163,7 @@ _ALNUM_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x
 _BENCHMARK_SQL = f"""WITH
 docs AS (SELECT row_number() OVER () AS r, doc_id, {_ALNUM_WORDS} AS w FROM documents),
 items AS (
-  SELECT CAST(item_id AS VARCHAR) AS item, {_ALNUM_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+  SELECT CAST(item_id AS VARCHAR) AS item, {_ALNUM_WORDS} AS w FROM benchmark),
 wanted AS (
   SELECT DISTINCT item, k, array_to_string(w[s:s + k - 1], ' ') AS g
   FROM (SELECT item, w, least(len(w), 13) AS k, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s
@@ -178,7 +178,7 @@ hit AS (
   FROM (SELECT r, unnest(range(s, s + k)) AS place FROM (SELECT DISTINCT r, s, k FROM met)) GROUP BY r),
 found AS (
   SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
-  FROM (SELECT DISTINCT r, item FROM met) GROUP BY r)
+  FROM (SELECT DISTINCT r, item FROM met WHERE item IS NOT NULL) GROUP BY r)
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
