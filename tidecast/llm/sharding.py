@@ -10,9 +10,13 @@ the slots that a changed load or shard count asks for.
 A record's place in its shard is the number of rows in the shard's earlier
 slots plus its rank in its own slot, so no sort spans more than one slot.
 
-Defined results: a null text has size 8; records with a null id share the
-slot of the null id; equal rows are ranked in any order (they cannot be told
-apart). Records with the same id share a slot.
+A slot that holds a large share of all bytes, as an id of very many rows or
+the null id makes it, is split by the hash of the text: its parts are slots of
+the map like others, numbered so that the map tells which slots are split.
+
+Defined results: a null text has size 8; a null id is an id; equal rows are
+ranked in any order (they cannot be told apart) and share a slot, as records
+with the same id do where it is not split.
 """
 
 from __future__ import annotations
@@ -35,6 +39,35 @@ def virtual_slot(key: Column, n_slots: int = N_SLOTS) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(n_slots)).cast("int")
 
 
+#: A slot is heavy from this part of a shard's share on (so at most
+#: ``HEAVY * n_shards`` slots are), and is then split in ``SUB_SLOTS``.
+HEAVY = 4
+SUB_SLOTS = 64
+
+
+def heavy_slots(loads: list[tuple[int, int, int]], n_shards: int) -> list[int]:
+    """Slots of several rows with a large share of all bytes, as one id that
+    very many rows carry makes them."""
+    total = sum(size for _, size, _ in loads)
+    return sorted(slot for slot, size, rows in loads if rows > 1 and size * HEAVY * n_shards > total)
+
+
+def split_slot(key: Column, text: Column, heavy: list[int], n_slots: int = N_SLOTS) -> Column:
+    """The slot of a record; in heavy slots one that the text decides as well.
+    Its number tells the slot it is part of, so a map is all that is needed to
+    find a record again."""
+    slot = virtual_slot(key, n_slots)
+    if not heavy:
+        return slot
+    part = F.pmod(F.xxhash64(text), F.lit(SUB_SLOTS)).cast("int")
+    return F.when(slot.isin(heavy), n_slots + slot * SUB_SLOTS + part).otherwise(slot)
+
+
+def heavy_in(slots, n_slots: int = N_SLOTS) -> list[int]:
+    """The heavy slots of a stored map, from the numbers of its slots."""
+    return sorted({(s - n_slots) // SUB_SLOTS for s in slots if s >= n_slots})
+
+
 def record_size(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + F.lit(8)
 
@@ -125,24 +158,33 @@ def place(records: DataFrame, slot_map: DataFrame, order: list[str]) -> DataFram
         .drop("rows_before", "rank_in_slot")
 
 
-def shard_documents(docs: DataFrame, n_shards: int = N_SHARDS, slot_map: SlotMap | None = None) -> DataFrame:
+def shard_documents(docs: DataFrame, n_shards: int = N_SHARDS, slot_map: SlotMap | None = None,
+                    version: int = 1) -> DataFrame:
     """doc_id, size, text_crc32, virtual_slot, shard and slot (the place in
-    the shard) for all documents, by the first version of the map."""
+    the shard) for all documents. The map is stored as ``version``; from the
+    second on it is the version before, edited for the loads of ``docs``."""
     spark = docs.sparkSession
-    text = F.coalesce(F.col("text"), F.lit(""))
-    records = docs.select("doc_id", record_size(F.col("text")).alias("size"),
-                          F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-                          virtual_slot(F.col("doc_id")).alias("virtual_slot"))
-    loads = slot_loads(docs.select(virtual_slot(F.col("doc_id")).alias("virtual_slot"),
-                                   record_size(F.col("text")).alias("size")))
+    key, text = F.col("doc_id"), F.coalesce(F.col("text"), F.lit(""))
+    size = record_size(F.col("text"))
     stored = slot_map or SlotMap(spark)
-    current = stored.store(1, first_map(loads, n_shards), loads)
+    before = stored.shards(version - 1) if version > 1 else None
+    loads = slot_loads(docs.select(virtual_slot(key).alias("virtual_slot"), size.alias("size")))
+    heavy = sorted({*heavy_slots(loads, n_shards), *heavy_in(before or [])})
+    slot = split_slot(key, text, heavy)
+    if heavy:
+        loads = slot_loads(docs.select(slot.alias("virtual_slot"), size.alias("size")))
+    shard_of = first_map(loads, n_shards) if before is None else rebalanced(before, loads, n_shards)
+    current = stored.store(version, shard_of, loads)
+    records = docs.select("doc_id", size.alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
+                          slot.alias("virtual_slot"))
     return place(records, current, ["doc_id", "text_crc32", "size"])
 
 
 def write_shards(docs: DataFrame, slot_map: DataFrame, path: str) -> None:
     """The documents themselves, one folder for each shard; files are written
     by the tasks that read the rows, without a shuffle."""
-    docs.withColumn("virtual_slot", virtual_slot(F.col("doc_id"))) \
+    heavy = heavy_in(r["virtual_slot"] for r in slot_map.select("virtual_slot").collect())  # bounded by its slots
+    slot = split_slot(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")), heavy)
+    docs.withColumn("virtual_slot", slot) \
         .join(F.broadcast(slot_map.select("virtual_slot", "shard")), "virtual_slot") \
         .drop("virtual_slot").write.partitionBy("shard").parquet(path)
