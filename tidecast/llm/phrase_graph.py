@@ -51,7 +51,7 @@ MIN_COUNT = 100
 #: an edge fits one 63-bit key.
 CHUNK_WORDS = 1_000_000
 #: Parts of the graph for each shuffle partition.
-PARTS = 4
+PARTS = 2
 #: A prefix is hot from half the share of one part on.
 HOT = 2
 
@@ -129,37 +129,34 @@ def _hashes(names: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(x) for x in names), np.uint64, len(names))
 
 
-def _prefixes(columns: list[np.ndarray], hashes: np.ndarray) -> list[np.ndarray]:
-    """Hash of the first 1, 2, ... words of each row."""
-    out = [hashes[columns[0]]]
-    for c in columns[1:]:
-        h = (out[-1] ^ (out[-1] >> np.uint64(31))) * _ODD + hashes[c]
-        out.append(h ^ (h >> np.uint64(29)))
-    return out
+def _extended(h: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hashes of prefixes with one word more."""
+    h = (h ^ (h >> np.uint64(31))) * _ODD + word
+    return h ^ (h >> np.uint64(29))
 
 
-def _rows(codes: np.ndarray) -> list[np.ndarray]:
-    """For every word but the last ``ORDER`` codes, the ``ORDER`` numbers of its
-    edge (0 from the end of the piece on)."""
+def _edges(codes: np.ndarray, n_words: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct edges (``ORDER`` numbers, 0 from the end of the piece on) that
+    start at any word but the last ``ORDER`` codes, in the order of their
+    numbers, and their weights."""
+    every = np.flatnonzero(codes[:-1])
+    pairs, code = np.unique(codes[every] * n_words + codes[every + 1], return_inverse=True)
+    pair_at = np.zeros(len(codes), np.int64)
+    pair_at[every] = code + 1
     at = np.flatnonzero(codes[:-ORDER])
-    columns = [codes[at]]
-    for k in range(1, ORDER):
-        columns.append(np.where(columns[-1] > 0, codes[at + k], 0))
-    return columns
-
-
-def _distinct(columns: list[np.ndarray], n_words: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct edges in the order of their numbers, and their weights."""
-    pairs, code = np.unique(np.concatenate([[0], columns[0] * n_words + columns[1], columns[2] * n_words + columns[3]]),
-                            return_inverse=True)
-    m, b = len(columns[0]), len(pairs)
-    keys = np.sort((code[1:m + 1] * b + code[m + 1:]) * n_words + columns[4])
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if m else np.zeros(0, np.int64)
-    weight = np.diff(np.concatenate([first, [m]]))
-    keys = keys[first]
-    rest, w5 = np.divmod(keys, n_words)
+    third = np.where(codes[at + 1] > 0, codes[at + 2], 0)
+    fourth = np.where(third > 0, codes[at + 3], 0)
+    fifth = np.where(fourth > 0, codes[at + 4], 0)
+    b = len(pairs) + 1
+    keys = np.sort((pair_at[at] * b + np.where(third > 0, pair_at[at + 2], 0)) * n_words + fifth)
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    first = np.flatnonzero(new)
+    weight = np.diff(np.concatenate([first, [len(keys)]]))
+    rest, fifth = np.divmod(keys[first], n_words)
     b12, b34 = np.divmod(rest, b)
-    return [*np.divmod(pairs[b12], n_words), *np.divmod(pairs[b34], n_words), w5], weight
+    pairs = np.concatenate([[0], pairs])
+    return [*np.divmod(pairs[b12], n_words), *np.divmod(pairs[b34], n_words), fifth], weight
 
 
 def heavy_prefixes(texts: DataFrame, share: float, chunk_words: int = CHUNK_WORDS) -> dict[int, list[int]]:
@@ -168,17 +165,26 @@ def heavy_prefixes(texts: DataFrame, share: float, chunk_words: int = CHUNK_WORD
     2 / share of each length, whatever the texts."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for codes, names in _chunks(batches, chunk_words):
-            columns = _rows(codes)
-            hashes = _prefixes(columns[:-1], _hashes(names))
-            level, found, n = [0], [0], [len(columns[0])]
-            at = np.arange(len(columns[0]))
-            for k, h in enumerate(hashes, 1):
-                keys, inverse, counts = np.unique(h[at], return_inverse=True, return_counts=True)
-                often = counts >= max(1, share / 2 * len(columns[0]))
+            words, at = _hashes(names), np.flatnonzero(codes[:-ORDER])
+            least = max(1, share / 2 * len(at))
+            level, found, n = [0], [0], [len(at)]
+            counts = np.bincount(codes[at], minlength=len(names))
+            often = counts >= least
+            level += [1] * int(often.sum())
+            found += words[often].view(np.int64).tolist()
+            n += counts[often].tolist()
+            at = at[often[codes[at]]]
+            last, h = codes[at], words[codes[at]]
+            for k in range(2, ORDER):
+                last = np.where(last > 0, codes[at + k - 1], 0)
+                h = _extended(h, words[last])
+                keys, inverse, counts = np.unique(h, return_inverse=True, return_counts=True)
+                often = counts >= least
                 level += [k] * int(often.sum())
                 found += keys[often].view(np.int64).tolist()
                 n += counts[often].tolist()
-                at = at[often[inverse]]
+                stay = often[inverse]
+                at, last, h = at[stay], last[stay], h[stay]
             yield pa.RecordBatch.from_pydict({"level": pa.array(level, pa.int32()), "h": pa.array(found, pa.int64()),
                                               "n": pa.array(n, pa.int64())})
 
@@ -216,17 +222,19 @@ def edge_blocks(texts: DataFrame, parts: int, hot: dict[int, list[int]],
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for codes, names in _chunks(batches, chunk_words):
-            columns, weight = _distinct(_rows(codes), len(names))
+            columns, weight = _edges(codes, len(names))
             if not len(weight):
                 continue
-            hashes = _prefixes(columns, _hashes(names))
-            route, depth = hashes[0], np.ones(len(weight), np.int64)
-            burning = np.ones(len(weight), bool)
+            hashes = _hashes(names)
+            route, depth = hashes[columns[0]], np.ones(len(weight), np.int64)
+            burning, h = np.arange(len(weight)), route
             for k, known in enumerate(hot_hashes):
-                burning &= np.isin(hashes[k], known)
-                if not burning.any():
+                hot_here = np.isin(h, known)
+                burning, h = burning[hot_here], h[hot_here]
+                if not len(burning):
                     break
-                route = np.where(burning, hashes[k + 1], route)
+                h = _extended(h, hashes[columns[k + 1][burning]])
+                route[burning] = h
                 depth[burning] = k + 2
             part = ((route ^ (route >> np.uint64(33))) % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
@@ -258,10 +266,14 @@ def _flow(min_count: int):
         edges = np.concatenate([t[0] for t in tables], axis=1)
         weight, depth = np.concatenate([t[1] for t in tables], axis=1)
         del tables
-        pair = [edges[i].astype(np.uint64) << np.uint64(32) | edges[i + 1] for i in (0, 2)]
-        order = np.lexsort((edges[4], pair[1], pair[0]))
+        wide = edges.astype(np.uint64)
+        if len(names) < 1 << 21:  # then three numbers fit a sort key
+            order = np.lexsort((wide[2] << np.uint64(42) | wide[3] << np.uint64(21) | wide[4],
+                                wide[0] << np.uint64(21) | wide[1]))
+        else:
+            order = np.lexsort((wide[4], wide[2] << np.uint64(32) | wide[3], wide[0] << np.uint64(32) | wide[1]))
         edges, weight, depth = edges[:, order], weight[order].astype(np.int64), depth[order]
-        del pair, order
+        del wide, order
         out: dict[str, list] = {"lang": [], "k": [], "phrase": [], "f": [], "partial": []}
 
         def add(lang, k, phrase, f, partial):
