@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Spark's default; queries over long texts lower it for themselves.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
