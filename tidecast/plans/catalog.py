@@ -49,6 +49,11 @@ def _r(c: str, digits: int) -> F.Column:
     return F.round(F.col(c), digits).alias(c)
 
 
+def _r0(c: str, digits: int) -> F.Column:
+    """Rounded, and 0.0 where that gives -0.0."""
+    return (F.round(F.col(c), digits) + F.lit(0.0)).alias(c)
+
+
 def _date_str(c: str) -> F.Column:
     return F.col(c).cast("date").cast("string").alias(c)
 
@@ -282,7 +287,7 @@ def _item_forecasts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]
 def q_forecast_item(spark: SparkSession, sf: str) -> DataFrame:
     """Every store and item, 28 days ahead, as fitted and as reconciled."""
     items, _ = _item_forecasts(spark, sf)
-    return items.select(*ITEM, "day", _r("yhat", 1), _r("reconciled", 1))
+    return items.select(*ITEM, "day", _r0("yhat", 1), _r0("reconciled", 1))
 
 
 def q_forecast_reconciled(spark: SparkSession, sf: str) -> DataFrame:
@@ -290,7 +295,7 @@ def q_forecast_reconciled(spark: SparkSession, sf: str) -> DataFrame:
     items, depts = _item_forecasts(spark, sf)
     by = [*fe.SERIES, fe.TIME]
     total = items.groupBy(*by).agg(F.sum("reconciled").alias("item_sum"), F.count(F.lit(1)).alias("n_items"))
-    return depts.join(total, by).select(*by, _r("yhat", 2), _r("reconciled", 2), _r("item_sum", 2), "n_items")
+    return depts.join(total, by).select(*by, _r0("yhat", 2), _r0("reconciled", 2), _r0("item_sum", 2), "n_items")
 
 
 def q_event_percent_rank(spark: SparkSession, sf: str) -> DataFrame:

@@ -382,10 +382,10 @@ WHERE rn = 1""",
     "trial_choice": _with(*LOG_BASE, *BACKTEST) + """SELECT fold, model, round(rmse, 6) AS loss
 FROM (SELECT *, row_number() OVER (PARTITION BY fold ORDER BY rmse, model) AS rn FROM backtest) WHERE rn = 1""",
     "forecast_item": _with(*ITEMS) + """SELECT store_id, dept_id, item_id, CAST(day AS INTEGER) AS day,
-       round(yhat, 1) AS yhat, round(reconciled, 1) AS reconciled FROM settled""",
-    "forecast_reconciled": _with(*ITEMS) + """SELECT g.store_id, g.dept_id, CAST(g.day AS INTEGER) AS day, round(any_value(g.yhat), 2) AS yhat,
-       round(any_value(g.yhat - CASE WHEN aw > 0 THEN w0 / aw ELSE 0 END * e), 2) AS reconciled,
-       round(sum(reconciled), 2) AS item_sum, any_value(n_items) AS n_items
+       round(yhat, 1) + 0.0 AS yhat, round(reconciled, 1) + 0.0 AS reconciled FROM settled""",
+    "forecast_reconciled": _with(*ITEMS) + """SELECT g.store_id, g.dept_id, CAST(g.day AS INTEGER) AS day, round(any_value(g.yhat), 2) + 0.0 AS yhat,
+       round(any_value(g.yhat - CASE WHEN aw > 0 THEN w0 / aw ELSE 0 END * e), 2) + 0.0 AS reconciled,
+       round(sum(reconciled), 2) + 0.0 AS item_sum, any_value(n_items) AS n_items
 FROM gap g JOIN settled s ON s.store_id = g.store_id AND s.dept_id = g.dept_id AND s.day = g.day GROUP BY ALL""",
     "event_percent_rank": "SELECT event_id, round(percent_rank() OVER (ORDER BY ts), 9) AS rank FROM events",
     "label_index": """SELECT label, n, CAST(row_number() OVER (ORDER BY n DESC, label) - 1 AS DOUBLE) AS index
