@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.ml import Model
+from pyspark.ml.util import DefaultParamsReader
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidecast.functions.metrics import rmse
@@ -33,9 +35,13 @@ def on_common_rows(scored: DataFrame, keys: Sequence[str], models: Sequence[str]
     the label is known, so that all models are compared on the same rows. A
     group holds one row for each model."""
     known = F.col(label_col).isNotNull() & F.col(prediction_col).isNotNull() & ~F.isnan(prediction_col)
-    present = F.size(F.collect_set(model_col).over(Window.partitionBy(*keys)))
-    return scored.where(known & F.col(model_col).isin(list(models))) \
-        .withColumn("_present", present).where(F.col("_present") == len(set(models))).drop("_present")
+    # One bit for each model: a number is kept for a group, not a set.
+    bits = F.lit(0)
+    for i, name in enumerate(sorted(set(models))):
+        bits = F.when(F.col(model_col) == name, 1 << i).otherwise(bits)
+    rows = scored.where(known & F.col(model_col).isin(list(models))).withColumn("_bit", bits.cast("long"))
+    return rows.withColumn("_seen", F.bit_or("_bit").over(Window.partitionBy(*keys))) \
+        .where(F.col("_seen") == (1 << len(set(models))) - 1).drop("_bit", "_seen")
 
 
 def rmse_by_model(scored: DataFrame, label_col: str, prediction_col: str,
@@ -62,3 +68,13 @@ def select_best_model(scores: DataFrame, by: Sequence[str] = (), loss_col: str =
     chosen = ranked.groupBy(*by).agg(best.alias("_best"))
     return chosen.select(*by, F.col("_best.m").alias(model_col), F.col("_best.f").alias(family_col),
                          F.col("_best.loss").alias(loss_col))
+
+
+def save_model(model: Model, path: str) -> None:
+    """Keep a fitted model of any family; an existing folder is not replaced."""
+    model.write().save(path)
+
+
+def load_model(spark: SparkSession, path: str) -> Model:
+    """The model kept at ``path``, as the class that its metadata names."""
+    return DefaultParamsReader.loadParamsInstance(path, spark)

@@ -20,7 +20,9 @@ from tidecast.functions.columns import day_index, day_number, dept_key, revenue,
 from tidecast.models.boosting import HistGBTRegressor, best_splits, bin_edges, histogram, split_gains, with_bins
 from tidecast.models.changepoints import ChangePointForecaster
 from tidecast.models.rolling import backtest, backtest_rmse
-from tidecast.models.selection import join_pred_actual, on_common_rows, rmse_by_model, select_best_model
+from tidecast.functions.metrics import rmse
+from tidecast.models.selection import (join_pred_actual, load_model, on_common_rows, rmse_by_model, save_model,
+                                       select_best_model)
 from tidecast.models.series import FourierForecaster, TrendWeekdayForecaster
 from tidecast.models.trees import gbt, rmse_of, tune
 from tidecast.models.trials import TrialLog, halving
@@ -434,26 +436,43 @@ def q_wide_model_choice(spark: SparkSession, sf: str) -> DataFrame:
     return _choose(spark, *_parts(fe.feature_set(_wide_daily(spark, sf), SPLIT_RATIO)), {"maxDepth": [2, 5], "maxIter": [10]})
 
 
-def _choose(spark: SparkSession, train: DataFrame, test: DataFrame, grid: dict | None) -> DataFrame:
-    early = F.col("_rank") <= F.lit(SPLIT_RATIO * SPLIT_RATIO)
+def q_cutoff_model_choice(spark: SparkSession, sf: str) -> DataFrame:
+    """The same run split at a date, as the reference's forecasts are, with the
+    chosen model kept: it is loaded from its folder and scores the test rows
+    once more (``reloaded``; of the other models null)."""
+    daily = fe.materialize(fe.daily_sales(spark, sf))
+    table = fe.materialize(fe.feature_set(daily, cutoff=FORECAST_CUTOFF).assembled, "features")
+    train, test = table.where(F.col("_rank").isNotNull()), table.where(F.col("_rank").isNull()).drop("_rank")
+    kept = scratch_path(spark, "chosen")
+    scores = _choose(spark, train, test, {"maxDepth": [2], "maxIter": [10]}, SPLIT_RATIO, kept)
+    model = load_model(spark, kept)
+    again = model.transform(test).select(F.lit(True).alias("chosen"), fe.LABEL, F.col(model.getPredictionCol()).alias("yhat"))
+    reloaded = again.groupBy("chosen").agg(rmse(fe.LABEL, "yhat").alias("reloaded"))
+    return scores.join(reloaded, "chosen", "left").select("model", "family", "horizon", "rmse", "n", "chosen", "reloaded")
+
+
+def _choose(spark: SparkSession, train: DataFrame, test: DataFrame, grid: dict | None,
+            early_rank: float = SPLIT_RATIO * SPLIT_RATIO, keep: str | None = None) -> DataFrame:
+    """Scores of all models on the same test rows. The grid point is picked on
+    the train rows after ``early_rank``; the chosen model is saved to ``keep``."""
+    early = F.col("_rank") <= F.lit(early_rank)
     result = tune(spark, train.where(early), train.where(~early), grid=grid, parallelism=4)
-
-    def part(model: str, family: str, horizon: str, rows: DataFrame, yhat: str) -> DataFrame:
-        return rows.select(F.lit(model).alias("model"), F.lit(family).alias("family"),
-                           F.lit(horizon).alias("horizon"), *KEYS, fe.LABEL, F.col(yhat).alias("yhat"))
-
-    parts = []
+    fitted = {}
     if result.best_model is not None:
-        chosen = gbt(max_depth=result.best_params["maxDepth"], max_iter=result.best_params["maxIter"]).fit(train)
-        parts.append(part("trees", "trees", "one step", chosen.transform(test), "prediction"))
+        est = gbt(max_depth=result.best_params["maxDepth"], max_iter=result.best_params["maxIter"])
+        fitted["trees"] = est.fit(train), "trees", "one step"
     for name, est in (("fourier", FourierForecaster(groupCols=fe.SERIES)),
                       ("trend_weekday", TrendWeekdayForecaster(groupCols=fe.SERIES))):
-        parts.append(part(name, "series", "full", est.fit(train).transform(test), "yhat"))
-    models = ["trees"][:len(parts) - 2] + ["fourier", "trend_weekday"]
-    scored = on_common_rows(reduce(DataFrame.unionByName, parts), KEYS, models, fe.LABEL, "yhat")
+        fitted[name] = est.fit(train), "series", "full"
+    parts = [model.transform(test).select(
+        F.lit(name).alias("model"), F.lit(family).alias("family"), F.lit(horizon).alias("horizon"), *KEYS, fe.LABEL,
+        F.col(model.getPredictionCol()).alias("yhat")) for name, (model, family, horizon) in fitted.items()]
+    scored = on_common_rows(reduce(DataFrame.unionByName, parts), KEYS, list(fitted), fe.LABEL, "yhat")
     # A few rows, read twice below: written, so that scoring runs once.
     scores = fe.materialize(rmse_by_model(scored, fe.LABEL, "yhat", "model", by=["family", "horizon"]), "scores")
     best = select_best_model(scores).select("model", F.lit(True).alias("chosen"))
+    if keep:
+        save_model(fitted[best.first()["model"]][0], keep)
     return scores.join(best, "model", "left").select(
         "model", "family", "horizon", "rmse", "n", F.coalesce("chosen", F.lit(False)).alias("chosen"))
 
@@ -557,4 +576,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forecast_changepoint": q_forecast_changepoint,
     "model_choice": model_choice,
     "wide_model_choice": q_wide_model_choice,
+    "cutoff_model_choice": q_cutoff_model_choice,
 }

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.operators.joins import left_join_using
-from tidecast.operators.split import time_percent_rank
+from tidecast.operators.split import cutoff_split, time_percent_rank
 from tidecast.operators.stages import DailySum, LagFeatures, LogTransformer, MeanImputer, ZeroReplacer
 from tidecast.session import materialize
 from tidecast.sources.retail import CALENDAR_COLUMNS, DAY_ORIGIN, calendar_columns, retail_lines
@@ -115,21 +115,31 @@ class FeatureSet:
     encoder_model: PipelineModel | None = field(default=None)
 
 
-def feature_set(daily: DataFrame, train_ratio: float | None = None) -> FeatureSet:
+def feature_set(daily: DataFrame, train_ratio: float | None = None, cutoff: str | None = None) -> FeatureSet:
     """All feature stages over a daily table with its calendar columns, from
     whatever source; written once by the caller (it is small: one row per
     series and day), as several stages fit on it. With ``train_ratio`` the
     imputer and the encoder are fitted on the first part of the time axis only,
-    and ``_rank`` is kept; otherwise on all rows."""
+    and ``_rank`` is kept; with ``cutoff`` (a date) on the rows up to it, and
+    ``_rank`` is their rank, null after the cutoff; otherwise on all rows."""
+    if train_ratio is not None and cutoff is not None:
+        raise ValueError("either a ratio or a cutoff")
     logged = log_sales(daily)
     lagged = lag_features(logged)
     extra = []
-    if train_ratio is None:
+    if train_ratio is None and cutoff is None:
         imputed = impute_lags(lagged)
         enc_model = encoder().fit(imputed)
     else:
-        lagged = materialize(time_percent_rank(lagged, TIME, "_rank"), "ranked")
-        train = F.col("_rank") <= F.lit(train_ratio)
+        if cutoff is None:
+            ranked = time_percent_rank(lagged, TIME, "_rank")
+            train = F.col("_rank") <= F.lit(train_ratio)
+        else:
+            before, after = cutoff_split(lagged, "date", cutoff)
+            ranked = time_percent_rank(before, TIME, "_rank").unionByName(
+                after.withColumn("_rank", F.lit(None).cast("double")))
+            train = F.col("_rank").isNotNull()
+        lagged = materialize(ranked, "ranked")
         imputed = impute_lags(lagged, lagged.where(train))
         enc_model = encoder().fit(imputed.where(train))
         extra = ["_rank"]
