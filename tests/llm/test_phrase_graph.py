@@ -117,3 +117,11 @@ def test_query(spark, tmp_path):
     assert sorted(tuple(r)[:8] for r in got.collect()) == plain(docs, 100, 2000)
     spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("false").write.parquet(f"{tmp_path}/documents.parquet")
     assert QUERIES["op11_phrase_collocations"](spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("parts", [1, 4, 51, 211])
+def test_every_partition_gets_one_part(spark, parts):
+    labels = pg.part_labels(spark, parts)
+    assert len(set(labels)) == parts
+    rows = spark.createDataFrame([(x,) for x in labels], "part int").repartition(parts, "part")
+    assert rows.groupBy(F.spark_partition_id().alias("p")).count().where("count = 1").count() == parts

@@ -40,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidecast.llm.common import written
@@ -50,10 +50,8 @@ MIN_COUNT = 100
 #: Words whose edges a task sums at once: pair codes then stay below 2**20 and
 #: an edge fits one 63-bit key.
 CHUNK_WORDS = 1_000_000
-#: Parts of the graph for each shuffle partition.
-PARTS = 2
-#: A prefix is hot from half the share of one part on.
-HOT = 2
+#: A prefix is hot from a quarter of the share of one part on.
+HOT = 4
 
 _TABLE = bytes(10 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c
                for c in range(256))
@@ -215,9 +213,21 @@ def _unpack(n: int, words: bytes, rows: bytes) -> tuple[list[bytes], np.ndarray]
     return press.decompress(words).split(b"\n"), table
 
 
+def part_labels(spark: SparkSession, parts: int) -> list[int]:
+    """A number for each part such that a shuffle of ``parts`` partitions by
+    these numbers gives each partition one part (numbers dealt out by hash
+    would leave some without and give others several)."""
+    number = F.col("id").cast("int")
+    found = spark.range(32 * parts).groupBy(F.pmod(F.hash(number), F.lit(parts)).alias("partition")) \
+        .agg(F.min(number).alias("label")).collect()
+    labels = {r["partition"]: r["label"] for r in found}
+    return [labels.get(p, 32 * parts + p) for p in range(parts)]
+
+
 def edge_blocks(texts: DataFrame, parts: int, hot: dict[int, list[int]],
                 chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """Blocks of summed edges, by part of the graph."""
+    labels = part_labels(texts.sparkSession, parts)
     hot_hashes = [np.array(hot.get(k, []), np.int64).view(np.uint64) for k in range(1, ORDER)]
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +254,7 @@ def edge_blocks(texts: DataFrame, parts: int, hot: dict[int, list[int]],
                 a, z = cuts[p], cuts[p + 1]
                 words, rows = _pack([c[a:z] for c in columns], names)
                 yield pa.RecordBatch.from_pydict({
-                    "part": pa.array([p], pa.int32()), "n": pa.array([z - a], pa.int32()),
+                    "part": pa.array([labels[p]], pa.int32()), "n": pa.array([z - a], pa.int32()),
                     "words": pa.array([words], pa.binary()), "rows": pa.array([rows], pa.binary())})
 
     return texts.mapInArrow(blocks, _BLOCKS)
@@ -320,7 +330,7 @@ def phrase_graph(docs: DataFrame, min_count: int = MIN_COUNT, share: float | Non
     ``share`` of all words makes a prefix hot (default: half of a part's)."""
     spark = docs.sparkSession
     texts = docs.select("text", F.col("lang").cast("string").alias("lang"))
-    parts = PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     hot = heavy_prefixes(texts, share or 1 / (HOT * parts), chunk_words)
     blocks = edge_blocks(texts, parts, hot, chunk_words)
     found = written(blocks.groupBy("part").applyInArrow(_flow(min_count), _GRAMS), "flow")
