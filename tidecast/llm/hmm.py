@@ -48,6 +48,8 @@ SEED = 7
 CHUNK_CHARS = 24_000_000
 #: Tokens (padded) whose forward variables are held at once.
 GROUP_TOKENS = 1_000_000
+#: Probability with which a state stays as it is, before training.
+STAY = 0.8
 #: Added to expected counts of classes and of transitions.
 CLASS_PRIOR, MOVE_PRIOR = 0.1, 1.0
 #: The end token among the words; no word is empty.
@@ -142,10 +144,12 @@ class Model:
 
     @classmethod
     def first(cls, class_counts: np.ndarray, states: int, seed: int) -> Model:
-        """Evenly smoothed class frequencies, with noise that sets states apart."""
+        """Smoothed class frequencies with exponential noise, and states that
+        tend to stay: from nearly equal states that move evenly, a few rounds
+        of Baum-Welch would not part them."""
         rng = np.random.default_rng(seed)
-        emit = (class_counts + 1.0) * rng.uniform(0.5, 1.5, (states, len(class_counts)))
-        move = rng.uniform(0.5, 1.5, (states, states))
+        emit = (class_counts + 1.0) * rng.exponential(1.0, (states, len(class_counts)))
+        move = np.full((states, states), (1 - STAY) / states) + STAY * np.eye(states)
         return cls(np.full(states, 1 / states), move / move.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True))
 
     @classmethod
