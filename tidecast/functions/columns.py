@@ -13,6 +13,11 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def quoted_name(name: str) -> str:
+    """A column's name as SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def series_key(*parts: ColumnOrName, sep: str = "_", suffix: str | None = None) -> Column:
     """``item_store_evaluation`` style id; null when any part is null."""
     cols: list[Column] = []

@@ -1,12 +1,13 @@
 """The retail job from its own inputs: wide sales, prices and a calendar, CSV
 files with a header, read by column name.
 
-``sales_by_day`` melts the sales, gives each cell its calendar week, joins the
-price of the item's week and sums revenue by store, department and day. The
-calendar has one row for each day and is joined first: the price table then
-meets the cells on (series, week) as it is, instead of being repeated for each
-day of a week. The attributes of a day are attached after the sum, so the rows
-that are shuffled carry three keys and a number.
+``sales_by_day`` joins the prices of a series to its line of sales, melts the
+lines, gives each cell its calendar week and the price of that week, and sums
+revenue by store, department and day. Prices meet the wide lines, one map by
+week for each series, not the cells: a series has thousands of cells, and they
+would all be shuffled to meet their (series, week); so they stay where they
+are made. The attributes of a day are attached after the sum, so the rows that
+are shuffled carry three keys and a number.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidecast.functions.columns import day_index, day_number, dept_key, revenue, series_key
 from tidecast.operators.joins import inner_join_on
-from tidecast.operators.reshape import day_columns, melt
+from tidecast.operators.reshape import column_numbers, day_columns, melt, pack
 from tidecast.operators.stages import DailySum
 from tidecast.plans.features import SERIES, TIME, with_calendar
 from tidecast.session import materialize, scratch_path
@@ -74,15 +75,21 @@ def write_retail(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     first, last = sold.agg(F.min("day"), F.max("day")).first()
     days = [f"d_{i}" for i in range(first, last + 1)] if first is not None else ["d_1"]
 
-    # A line of the wide file is put together from one map of a series' days: a
-    # pivot would plan an expression for each of the thousands of columns.
+    # A line of the wide file is put together from the days of a series with a
+    # sale and the runs of zeros between them: a pivot would plan an expression
+    # for each of the thousands of columns, a lookup for each cell.
+    known = F.when(F.col("day").isNotNull(), F.struct("day", "quantity"))
     series = sold.groupBy("store_id", "item_id", "day").agg(F.sum("quantity").alias("quantity")) \
-        .groupBy("store_id", "item_id").agg(F.map_from_entries(F.collect_list(F.struct("day", "quantity"))).alias("_days"))
-    axis = F.sequence(F.lit(first or 1), F.lit(last or 1))
-    units = F.transform(axis, lambda d: F.coalesce(F.try_element_at("_days", d), F.lit(0.0)).cast("string"))
+        .groupBy("store_id", "item_id").agg(F.array_sort(F.collect_list(known)).alias("_days"))
+    start = F.lit((first or 1) - 1)
+    zeros = lambda after, until: F.repeat(F.lit(",0"), until - after - 1)
+    cells = F.transform("_days", lambda s, i: F.concat(
+        zeros(F.coalesce(F.get("_days", i - 1)["day"], start), s["day"]), F.lit(","),
+        F.coalesce(s["quantity"], F.lit(0.0)).cast("string")))
+    tail = zeros(F.coalesce(F.try_element_at("_days", F.lit(-1))["day"], start), F.lit((last or 1) + 1))
     leading = [series_key("item_id", "store_id", suffix="evaluation"), F.col("item_id"), dept_key("item_id"),
                F.split_part("item_id", F.lit("_"), F.lit(1)), F.col("store_id"), F.left("store_id", F.lit(2))]
-    wide = series.select(F.concat_ws(",", *leading, F.array_join(units, ",")).alias(",".join([*SALES, *days])))
+    wide = series.select(F.concat(F.concat_ws(",", *leading), F.array_join(cells, ""), tail).alias(",".join([*SALES, *days])))
     week = (F.floor(F.col("day") / 7) + 1).cast("int")
     prices = sold.select("store_id", "item_id", week.alias("wm_yr_wk"),
                          (F.col("p_retailprice") + week % 3).alias("sell_price")).distinct()
@@ -102,17 +109,32 @@ def wide_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     return files.sales, files.prices, files.calendar
 
 
+def prices_by_week(prices: DataFrame) -> DataFrame:
+    """(series, store_id, dept_id, by_week): of each item in a store a map from
+    week to its prices, as a week may have more than one."""
+    item = ["series", "store_id", "item_id"]
+    series = prices.select(series_key("item_id", "store_id", suffix="evaluation").alias("series"), "store_id", "item_id",
+                           F.col("wm_yr_wk").alias("week"), "sell_price")
+    known = series.where(F.col("series").isNotNull() & F.col("week").isNotNull()).repartition("series")
+    return known.groupBy(*item, "week").agg(F.collect_list(F.struct("sell_price")).alias("prices")) \
+        .groupBy(*item).agg(F.map_from_entries(F.collect_list(F.struct("week", "prices"))).alias("by_week")) \
+        .select("series", "store_id", dept_key("item_id").alias("dept_id"), "by_week")
+
+
 def sales_by_day(sales: DataFrame, prices: DataFrame, calendar: DataFrame) -> DataFrame:
     """(store_id, dept_id, day, calendar attributes, sales). A cell without a
     price or a calendar row counts for nothing."""
-    cells = melt(sales, ["id"], day_columns(sales), "variable", "quantity").withColumnRenamed("id", "series")
-    weeks = calendar.select("d", "wm_yr_wk")
-    dated = inner_join_on(cells, weeks, [("variable", "d")]).withColumn("day", day_index("variable"))
-    series = prices.select(series_key("item_id", "store_id", suffix="evaluation").alias("id"), "store_id", "item_id",
-                           F.col("wm_yr_wk").alias("week"), "sell_price")
-    priced = inner_join_on(dated, series, [("series", "id"), ("wm_yr_wk", "week")])
-    lines = priced.select("store_id", dept_key("item_id").alias("dept_id"), "day",
-                          revenue("quantity", "sell_price").alias("sales"))
+    days = day_columns(sales)
+    # Spark takes an array for small whatever it holds, and would broadcast it.
+    priced = inner_join_on(pack(sales, ["id"], days), prices_by_week(prices).hint("merge"), [("id", "series")])
+    cells = melt(priced, [*SERIES, "by_week"], days, "variable", "quantity", packed="cells", at_name="at")
+    # The calendar finds its columns by name, a cell its column by number. This
+    # table is as long as the file is wide, so it goes to the cells.
+    weeks = inner_join_on(column_numbers(sales, days, "variable", "at"), calendar.select("d", "wm_yr_wk"), [("variable", "d")]) \
+        .select(F.col("at").alias("column"), "wm_yr_wk", day_index("variable").alias(TIME))
+    dated = inner_join_on(cells, F.broadcast(weeks), [("at", "column")])
+    lines = dated.select(*SERIES, TIME, "quantity", F.inline(F.try_element_at("by_week", F.col("wm_yr_wk")))) \
+        .select(*SERIES, TIME, revenue("quantity", "sell_price").alias("sales"))
     daily = DailySum(inputCol="sales", outputCol="sales", groupCols=[*SERIES, TIME]).transform(lines)
     return with_calendar(daily, calendar.withColumn(TIME, day_index("d"))).select(
         *SERIES, TIME, *[c for c in CALENDAR_COLUMNS if c != TIME], "sales")
