@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tidecast.llm import jaccard_join
@@ -35,3 +36,40 @@ def test_family_of_near_copies(spark):
     rows = spark.createDataFrame(docs, "doc_id long, text string")
     got = sorted(tuple(r) for r in jaccard_join.jaccard_components(rows, 4, 85, 100).collect())
     assert got == sorted(brute.near(docs, 4, 85, 100))
+
+
+def test_texts_nobody_needs_are_not_dealt(spark, monkeypatch, capsys):
+    docs = [(d, f"a b c d e f g h {d // 2}") for d in range(40)] + [(None, "one"), (50, None)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    wanted = rows.where("doc_id < 4 or doc_id is null").selectExpr("coalesce(doc_id, 99) v", "doc_id", "xxhash64(text) text_key")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = jaccard_join.sets_of(rows, wanted, 4)
+        few = {r["v"]: sorted(r["s"]) for r in found.collect()}
+        found.explain()
+        assert "BroadcastHashJoin" in capsys.readouterr().out
+        monkeypatch.setattr(jaccard_join, "KEYS", 0)
+        assert few == {r["v"]: sorted(r["s"]) for r in jaccard_join.sets_of(rows, wanted, 4).collect()} and set(few) == {0, 1, 2, 3, 99}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_shingle_lists_are_dealt_once(spark, monkeypatch, capsys):
+    docs = [(d, " ".join(f"w{d // 3 * 7 + i}" for i in range(20))) for d in range(60)]
+    rows = spark.createDataFrame([*docs, (None, ""), (7, None)], "doc_id long, text string")
+    limit, old = jaccard_join.Threshold(85, 100), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = jaccard_join.written(jaccard_join.shingles(rows, 4, limit), "t-shingles")
+        first = table.where("n > 0").groupBy("digest").agg(F.min("v").alias("rep"))
+        found = jaccard_join.prefixes(table, first, limit)
+        found.explain()
+        plan = capsys.readouterr().out
+        few = sorted(tuple(r) for r in found.collect())
+        assert plan.count("Exchange hashpartitioning(tok") == 1
+        assert len(jaccard_join.vertices_of(table, first).collect()) == 20
+        monkeypatch.setattr(jaccard_join, "KEYS", 0)
+        assert few == sorted(tuple(r) for r in jaccard_join.prefixes(table, first, limit).collect()) and few
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

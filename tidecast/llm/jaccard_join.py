@@ -39,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.llm.common import lower_words, text_key, written
@@ -52,6 +52,9 @@ FEW = 32
 #: Vertices and shingles in a block, about.
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 400_000
 KEEP_WORDS = 250_000
+#: Most numbers that are broadcast to leave out rows before they are dealt by
+#: a key: copies of a vertex, texts no vertex needs. Beyond that all are dealt.
+KEYS = 4_000_000
 #: Most cells in a table of shingles and probes; probes are taken in parts.
 CELLS = 32_000_000
 
@@ -145,12 +148,22 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*arrays, np.zeros(0, np.int64)])))
 
 
+def vertices_of(table: DataFrame, first: DataFrame) -> DataFrame:
+    """Rows of the table that stand for their sets. The copies, which are
+    fewer, are told by number, so that no lists of shingles are dealt."""
+    rows, reps = table.where("n > 0"), first.select(F.col("rep").alias("v"))
+    copies = written(rows.select("v").join(reps, "v", "left_anti"), "copies")
+    if copies.count() <= KEYS:
+        return rows.join(F.broadcast(copies), "v", "left_anti")
+    return rows.join(reps, "v")
+
+
 def prefixes(table: DataFrame, first: DataFrame, limit: Threshold) -> DataFrame:
     """tok, v, n, pos: prefix shingles that may have partners."""
-    vertices = table.join(first.select(F.col("rep").alias("v")), "v")
-    by_token = vertices.select("v", F.explode("low").alias("tok")).repartition("tok")
-    shared = by_token.join(by_token.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-                           .hint("shuffle_hash"), "tok")
+    vertices = vertices_of(table, first)
+    # Counted where they stand: a join with the counts would deal the rows twice.
+    df = F.count(F.lit(1)).over(Window.partitionBy("tok"))
+    shared = vertices.select("v", F.explode("low").alias("tok")).withColumn("df", df).where("df > 1")
     # The shared low shingles of one document: no more than its set.
     lists = shared.groupBy("v").agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("known"))
     info = vertices.select("v", "n", F.size("low").alias("n_low"), "high") \
@@ -167,7 +180,8 @@ def prefixes(table: DataFrame, first: DataFrame, limit: Threshold) -> DataFrame:
 
 def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """v, s: whole sets of the ``wanted(v, doc_id, text_key)`` vertices, made
-    from the texts again rather than kept for all documents."""
+    from the texts again rather than kept for all documents. Texts that no
+    vertex needs are left out before the rest is dealt by its keys."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
@@ -176,6 +190,8 @@ def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"), "text")
     same = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.text_key") == F.col("w.text_key"))
+    if wanted.count() <= KEYS:
+        rows = rows.join(F.broadcast(wanted.select("text_key").distinct()), "text_key", "left_semi")
     found = rows.alias("d").join(wanted.alias("w"), same).select("w.v", "d.text")
     return found.mapInArrow(sets, "v long, s array<long>").dropDuplicates(["v"])
 
@@ -361,7 +377,8 @@ def linked(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, Data
     several = prefix.groupBy("tok").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = written(prefix.join(several, "tok"), "branches")
     active = members.select("v").distinct()
-    sets = written(sets_of(docs, table.join(active, "v").select("v", "doc_id", "text_key"), k), "sets")
+    wanted = written(table.select("v", "doc_id", "text_key").join(active, "v"), "wanted")
+    sets = written(sets_of(docs, wanted, k), "sets")
 
     # Larger branches: the trie over blocks.
     of, meeting = blocks(members.where(F.col("size") > FEW))
