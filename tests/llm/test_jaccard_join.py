@@ -73,3 +73,31 @@ def test_shingle_lists_are_dealt_once(spark, monkeypatch, capsys):
         assert few == sorted(tuple(r) for r in jaccard_join.prefixes(table, first, limit).collect()) and few
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_texts_that_stay_are_not_dealt(spark, monkeypatch, capsys):
+    text = lambda i: " ".join(f"w{i}_{j}" for j in range(30))
+    docs = [(d, text(d)) for d in range(20)] + [(30, text(1)), (31, text(2) + " more"), (5, text(5)), (5, text(6)), (None, text(8)),
+                                                (None, text(40)), (None, text(40)), (41, ""), (41, ""), (42, None), (None, None)]
+    rows = spark.createDataFrame(docs, "doc_id int, text string").withColumn("key", F.lit("k")).withColumn("kept", F.lit(7))
+    # The smallest id of a group stays, a null id before all others.
+    want = [*[(d, text(d)) for d in range(20) if d not in (6, 8)], (5, text(6)), (None, text(8)), (None, text(40)), (41, ""), (42, None),
+            (None, None)]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = jaccard_join.drop_near_duplicates(rows, 5, 4, 5)
+        found.explain()
+        plan = capsys.readouterr().out
+        assert "LeftAnti" in plan.splitlines()[next(i for i, x in enumerate(plan.splitlines()) if "Union" in x) + 2]
+        assert found.columns == rows.columns
+        got = sorted(map(str, found.collect()))
+        assert got == sorted(str(r) for r in spark.createDataFrame(want, "doc_id int, text string")
+                             .withColumn("key", F.lit("k")).withColumn("kept", F.lit(7)).collect())
+        monkeypatch.setattr(jaccard_join, "KEYS", 0)
+        few = jaccard_join.drop_near_duplicates(rows, 5, 4, 5)
+        few.explain()
+        assert "LeftSemi" not in capsys.readouterr().out
+        assert got == sorted(map(str, few.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

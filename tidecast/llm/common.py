@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.session import checkpoint_dir, scratch_path, ship_code
+from tidecast.session import checkpoint_dir, scratch_path, ship_code, shuffles_removed
 
 #: ASCII white space, the separators of words.
 BLANKS = "\x20\t\n\x0b\x0c\r"
@@ -55,7 +55,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     read the files, and a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with shuffles_removed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

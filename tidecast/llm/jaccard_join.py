@@ -438,10 +438,31 @@ def jaccard_links(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> Da
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """One document of each component, the one with the smallest id, with its
-    own columns; of rows that share id and text one stays."""
-    classes = _classes(*linked(docs, k, num, den)[:2])
+    own columns; of rows that share id and text one stays. Rows are told by
+    their keys: only those whose id and text others share, or that go, are
+    dealt, with their texts; the others, which are most, stay where they are."""
+    classes = written(_classes(*linked(docs, k, num, den)[:2]).select("doc_id", "text_key", "c"), "classes")
     keep = classes.groupBy("c").agg(F.min(F.struct("doc_id", "text_key")).alias("one")).select("one.*").distinct()
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", text_key(F.col("text")).alias("text_key"))
-    same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d.text_key") == F.col("k.text_key"))
-    return rows.alias("d").join(keep.alias("k"), same, "left_semi") \
-        .dropDuplicates(["doc_id", "text_key"]).select("row.*")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                       text_key(F.col("text")).alias("text_key"))
+    key = F.xxhash64("doc_id", "text_key")
+    counted = classes.select("doc_id", "text_key", F.lit(0).alias("kept")) \
+        .unionByName(keep.withColumn("kept", F.lit(1))) \
+        .groupBy("doc_id", "text_key").agg(F.sum("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    # A kept key of one row stands here twice: as a row and as kept.
+    unsure = written(counted.where("kept = 0 or n > 2").select(key.alias("key")).distinct(), "unsure")
+    if unsure.count() > KEYS:
+        return _kept_once(rows, keep).select("row.*")
+    keyed, few = rows.withColumn("key", key), F.broadcast(unsure)
+    return keyed.join(few, "key", "left_anti").select("row.*").unionByName(
+        _kept_once(keyed.join(few, "key", "left_semi").drop("key"), keep).select("row.*"))
+
+
+def _kept_once(rows: DataFrame, keep: DataFrame) -> DataFrame:
+    """Of ``rows(row, doc_id, text_key)`` one for each key that ``keep`` has.
+    Rows and keys meet in one aggregate, so that texts are dealt once."""
+    none = F.lit(None).cast(rows.schema["row"].dataType).alias("row")
+    met = rows.withColumn("kept", F.lit(False)).unionByName(
+        keep.select(none, "doc_id", "text_key", F.lit(True).alias("kept")))
+    return met.groupBy("doc_id", "text_key").agg(F.first("row", True).alias("row"), F.max("kept").alias("kept")) \
+        .where("kept and row is not null").select("row")

@@ -9,8 +9,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -105,10 +108,40 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     Later fits and queries read the files (pruned and filtered there), and a
     lost executor does not send them back to the source."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_REMOVE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_REMOVING, _REMOVERS = threading.Lock(), {}
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """A query that is run inside removes its shuffle files at its end; else
+    they stay until the driver happens to collect its garbage. For writes,
+    whose rows are read from the files they leave. Threads may be inside side
+    by side: the last one to leave restores the setting."""
+    with _REMOVING:
+        inside, before = _REMOVERS.get(spark, (0, None))
+        if not inside:
+            before = spark.conf.get(_REMOVE, None)
+            spark.conf.set(_REMOVE, "true")
+        _REMOVERS[spark] = inside + 1, before
+    try:
+        yield
+    finally:
+        with _REMOVING:
+            inside, before = _REMOVERS.pop(spark)
+            if inside > 1:
+                _REMOVERS[spark] = inside - 1, before
+            elif before is None:
+                spark.conf.unset(_REMOVE)
+            else:
+                spark.conf.set(_REMOVE, before)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     base = checkpoint_dir(spark)
