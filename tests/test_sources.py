@@ -105,3 +105,12 @@ def test_retail_files_of_the_real_shape(spark, tmp_path):
     assert (days[2]["event_name_1"], days[2]["snap_CA"], days[1]["event_name_1"], days[9]["wm_yr_wk"]) == (
         "SuperBowl", 1, None, 11102)
     assert {(r["store_id"], r["dept_id"]) for r in days.values()} == {("CA_1", "FOODS_1")}
+
+
+def test_csv_in_bounded_files(spark):
+    lines = read_table(spark, SF_SMALL, "lineitem").repartition(1)
+    path = write_csv(lines, scratch_path(spark, "t-csv-parts"), most_rows=1000)
+    back, files = read_csv(spark, path, lines.schema), spark.read.text(path).groupBy(F.input_file_name()).count()
+    assert back.count() == lines.count() and back.exceptAll(lines).count() == 0
+    assert files.where("count > 1001").count() == 0 and files.count() == -(-lines.count() // 1000)
+    assert all(r[0].endswith(".csv.gz") for r in files.collect())

@@ -2,10 +2,15 @@
 where they are made, and the lines of the file hold every day."""
 
 import datetime
+import os
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
+from tests.test_session import shuffle_files
 from tidecast.operators.reshape import column_numbers, melt, pack
+from tidecast.plans import catalog, wide
 from tidecast.plans.wide import prices_by_week, sales_by_day, wide_tables
 from tidecast.sources.files import read_csv_by_name
 
@@ -82,3 +87,66 @@ def test_lines_of_the_file_hold_every_day(spark, tmp_path):
     got = {r["item_id"]: [r[f"d_{i}"] for i in range(3, 8)] for r in sales.collect()}
     assert got == {"Brand_11_1": [7.0, 0.0, 0.0, 0.0, 1.0], "Brand_12_2": [0.0, 0.0, 4.0, 0.0, 0.0]}
     assert [c for c in sales.columns if c.startswith("d_")] == [f"d_{i}" for i in range(3, 8)]
+
+
+def _order_tables(spark, path, n=400):
+    day = lambda i: datetime.datetime(1995, 1, 1) + datetime.timedelta(days=i)
+    rows = [(i % 40, i % 4, float(i % 9), day(i * 7919 % 2500)) for i in range(n)] + [(1, 1, None, day(2499)), (None, 1, 1.0, day(0))]
+    for name, kind, some in (
+            ("region", "r_regionkey int, r_name string", [(0, "ASIA"), (1, "EUROPE")]),
+            ("nation", "n_nationkey int, n_regionkey int", [(0, 0), (1, 1)]),
+            ("supplier", "s_suppkey long, s_nationkey int", [(i, i % 2) for i in range(4)]),
+            ("part", "p_partkey long, p_brand string, p_retailprice double",
+             [*[(i, f"Brand#{i % 5}", 2.0 + i) for i in range(40)], (3, "Brand#3", 50.0)]),
+            ("lineitem", "l_partkey long, l_suppkey long, l_quantity double, l_shipdate timestamp", rows)):
+        spark.createDataFrame(some, kind).write.parquet(f"{path}/{name}.parquet")
+    return str(path)
+
+
+def test_written_lines_are_small_and_in_bounded_files(spark, tmp_path, monkeypatch):
+    sf = _order_tables(spark, tmp_path / "tables")
+    monkeypatch.setattr(wide, "FILE_BYTES", 51_000)
+    before = shuffle_files(spark)
+    paths = {k: p.removeprefix("file:") for k, p in wide.write_retail(spark, sf).items()}
+    until = time.time() + 10
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    files = [f for f in os.listdir(paths["sales"]) if f.startswith("part-")]
+    held = sum(os.path.getsize(f"{paths['sales']}/{f}") for f in files)
+    lines = spark.read.text(paths["sales"]).where("value not like 'id,%'")
+    assert lines.count() == 40 and held < lines.agg(F.sum(F.length("value"))).first()[0] / 8
+    assert len(files) >= 4 and len([f for f in os.listdir(paths["prices"]) if f.startswith("part-")]) >= 1
+    tables = wide.read_retail(spark, **paths)
+    assert tables.sales.count() == 40 and tables.rejected.count() == 0
+    want = spark.read.parquet(f"{sf}/lineitem.parquet").alias("l").join(spark.read.parquet(f"{sf}/part.parquet"), F.expr("l_partkey = p_partkey")) \
+        .agg(F.sum("l_quantity")).first()[0]
+    days = [c for c in tables.sales.columns if c.startswith("d_")]
+    assert melt(tables.sales, ["id"], days).agg(F.sum("value")).first()[0] == want
+
+
+def test_prices_are_dealt_without_their_series(spark, capsys):
+    prices = _small(spark)[1]
+    prices_by_week(prices).explain()
+    plan = capsys.readouterr().out
+    dealt = plan[plan.index("Exchange"):]
+    assert plan.count("Exchange") == 1 and "AS series" not in dealt and "hashpartitioning(concat(" in dealt
+
+
+@pytest.mark.parametrize("query", ["wide_features", "wide_model_choice"])
+def test_daily_table_of_the_job_leaves_no_shuffles(spark, tmp_path, monkeypatch, query):
+    """Both begin with the daily table from files; nothing else is run here."""
+    sf, kept = _order_tables(spark, tmp_path / "tables"), {}
+
+    def stop(daily, *_):
+        kept["daily"] = daily
+        raise StopIteration
+
+    monkeypatch.setattr(catalog.fe, "feature_set", stop)
+    before = shuffle_files(spark)
+    with pytest.raises(StopIteration):
+        catalog.QUERIES[query](spark, sf)
+    until = time.time() + 10
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before and kept["daily"].count() > 0

@@ -23,7 +23,7 @@ from tidecast.operators.joins import inner_join_on
 from tidecast.operators.reshape import column_numbers, day_columns, melt, pack
 from tidecast.operators.stages import DailySum
 from tidecast.plans.features import SERIES, TIME, with_calendar
-from tidecast.session import materialize, scratch_path
+from tidecast.session import materialize, scratch_path, shuffles_removed
 from tidecast.sources.files import read_csv_by_name, write_csv
 from tidecast.sources.retail import CALENDAR_COLUMNS, DAY_ORIGIN, calendar_for_days, store_of_supplier
 from tidecast.sources.tables import read_table
@@ -38,6 +38,8 @@ PRICES = {"store_id": "string", "item_id": "string", "wm_yr_wk": "int", "sell_pr
 SALES = {"id": "string", "item_id": "string", "dept_id": "string", "cat_id": "string", "store_id": "string",
          "state_id": "string"}
 DAYS = {r"d_\d+": "double"}
+#: Text in a file that is written compressed, about.
+FILE_BYTES = 64_000_000
 
 
 @dataclass
@@ -77,9 +79,11 @@ def write_retail(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 
     # A line of the wide file is put together from the days of a series with a
     # sale and the runs of zeros between them: a pivot would plan an expression
-    # for each of the thousands of columns, a lookup for each cell.
+    # for each of the thousands of columns, a lookup for each cell. The sums of
+    # a series are few (its days), so they are dealt once, by series.
+    dealt = sold.repartition("store_id", "item_id")
     known = F.when(F.col("day").isNotNull(), F.struct("day", "quantity"))
-    series = sold.groupBy("store_id", "item_id", "day").agg(F.sum("quantity").alias("quantity")) \
+    series = dealt.groupBy("store_id", "item_id", "day").agg(F.sum("quantity").alias("quantity")) \
         .groupBy("store_id", "item_id").agg(F.array_sort(F.collect_list(known)).alias("_days"))
     start = F.lit((first or 1) - 1)
     zeros = lambda after, until: F.repeat(F.lit(",0"), until - after - 1)
@@ -91,15 +95,20 @@ def write_retail(spark: SparkSession, sf_dir: str) -> dict[str, str]:
                F.split_part("item_id", F.lit("_"), F.lit(1)), F.col("store_id"), F.left("store_id", F.lit(2))]
     wide = series.select(F.concat(F.concat_ws(",", *leading), F.array_join(cells, ""), tail).alias(",".join([*SALES, *days])))
     week = (F.floor(F.col("day") / 7) + 1).cast("int")
-    prices = sold.select("store_id", "item_id", week.alias("wm_yr_wk"),
-                         (F.col("p_retailprice") + week % 3).alias("sell_price")).distinct()
+    # In the order of the dataset's file, which also packs best.
+    prices = dealt.select("store_id", "item_id", week.alias("wm_yr_wk"),
+                          (F.col("p_retailprice") + week % 3).alias("sell_price")).distinct() \
+        .sortWithinPartitions("store_id", "item_id", "wm_yr_wk")
     calendar = calendar_for_days(sold.select("day")) if first is not None else calendar_for_days(
         spark.range(1).select(F.lit(1).alias("day")))
-    # One column named like the whole header; no value holds the separator.
+    # Lines are mostly zeros, two characters a day. One column named like the
+    # whole header; no value holds the separator.
     paths = {"sales": scratch_path(spark, "sales")}
-    wide.write.option("header", True).option("sep", "\x01").csv(paths["sales"])
-    for name, table, columns in (("prices", prices, PRICES), ("calendar", calendar, CALENDAR)):
-        paths[name] = write_csv(table.select(*columns), scratch_path(spark, name))
+    with shuffles_removed(spark):
+        wide.write.options(header=True, sep="\x01", compression="gzip",
+                           maxRecordsPerFile=max(1, FILE_BYTES // (2 * len(days) + 100))).csv(paths["sales"])
+        for name, table, columns in (("prices", prices, PRICES), ("calendar", calendar, CALENDAR)):
+            paths[name] = write_csv(table.select(*columns), scratch_path(spark, name), most_rows=FILE_BYTES // 40)
     return paths
 
 
@@ -112,10 +121,10 @@ def wide_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
 def prices_by_week(prices: DataFrame) -> DataFrame:
     """(series, store_id, dept_id, by_week): of each item in a store a map from
     week to its prices, as a week may have more than one."""
-    item = ["series", "store_id", "item_id"]
-    series = prices.select(series_key("item_id", "store_id", suffix="evaluation").alias("series"), "store_id", "item_id",
-                           F.col("wm_yr_wk").alias("week"), "sell_price")
-    known = series.where(F.col("series").isNotNull() & F.col("week").isNotNull()).repartition("series")
+    item, series = ["series", "store_id", "item_id"], series_key("item_id", "store_id", suffix="evaluation")
+    # Dealt by series without it: it holds no more than the two columns beside it.
+    known = prices.select("store_id", "item_id", F.col("wm_yr_wk").alias("week"), "sell_price") \
+        .where(series.isNotNull() & F.col("week").isNotNull()).repartition(series).withColumn("series", series)
     return known.groupBy(*item, "week").agg(F.collect_list(F.struct("sell_price")).alias("prices")) \
         .groupBy(*item).agg(F.map_from_entries(F.collect_list(F.struct("week", "prices"))).alias("by_week")) \
         .select("series", "store_id", dept_key("item_id").alias("dept_id"), "by_week")

@@ -97,9 +97,13 @@ def read_csv_by_name(spark: SparkSession, path: str, columns: Mapping[str, str],
     return rows, rejected
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> str:
+def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite", most_rows: int | None = None) -> str:
+    """CSV files; with ``most_rows`` compressed ones of that many rows at most:
+    a compressed file is read by one task, so it should hold about one split."""
+    packed = {"compression": "gzip", "maxRecordsPerFile": most_rows} if most_rows else {}
     (
         df.write.mode(mode)
+        .options(**packed)
         .option("header", header)
         .option("timestampFormat", TIMESTAMP_FORMAT)
         .option("dateFormat", DATE_FORMAT)
